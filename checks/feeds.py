@@ -78,7 +78,7 @@ FROM (
 """
 
 _MESSAGES = """
-SELECT dt, CASE WHEN d=13 THEN 'THIS IS NOT A MESSAGE'
+SELECT *, CASE WHEN d=13 THEN 'THIS IS NOT A MESSAGE'
   ELSE '8=FIX.4.4|35=D|' || coalesce('11=' || t11 || '|','') || coalesce('1=' || t1 || '|','')
     || '55=' || t55 || '|' || coalesce('54=' || t54 || '|','') || '38=' || t38 || '|44=' || t44
     || '|6=' || t6 || '|15=' || t15 || '|60=' || t60 || '|' END AS raw_record
@@ -155,8 +155,10 @@ def with_clause(parts: list[tuple[str, str]]) -> str:
 
 def oracle(select: str, *more: tuple[str, str], variant: str = FIXED, portfolio_prices=False) -> str:
     """DuckDB text: the feeds, further named parts, and the final SELECT."""
-    parts = [*ctes(variant, portfolio_prices), *more]
-    return with_clause(parts).format(**{t: t for t in TABLES}) + select
+    text = with_clause([*ctes(variant, portfolio_prices), *more])
+    for name in TABLES:
+        text = text.replace("{" + name + "}", name)
+    return text + select
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -227,7 +229,9 @@ def document_lines(spark: SparkSession, sf_dir: str, variant: str = FIXED) -> Da
         "portfolio_name",
         F.lit("USD").alias("base_currency"),
         "positions",
-        F.struct(F.struct(*[F.col(c).cast("string") for c in limits]).alias("risk_limits")).alias("metadata"),
+        F.struct(
+            F.struct(*[F.col(c).cast("string").alias(c) for c in limits]).alias("risk_limits")
+        ).alias("metadata"),
     )
     documents = portfolios.groupBy(*document_key).agg(F.collect_list(portfolio).alias("portfolios"))
     file = F.concat_ws("-", F.coalesce(F.col("source_run_date").cast("string"), F.lit("none")),

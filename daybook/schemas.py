@@ -39,55 +39,63 @@ MARKET_DATA = "market_data"
 PORTFOLIO = "portfolio"
 SOURCES = [TRADES, MARKET_DATA, PORTFOLIO]
 
-MARKET_FEED = T.StructType.fromDDL(
-    "symbol string, asset_class string, close_price decimal(20,8), currency string, "
-    "fx_rate_to_usd decimal(20,10), price_date date, loaded_at timestamp"
-)
+_STRING, _LONG, _DOUBLE = T.StringType(), T.LongType(), T.DoubleType()
+_DATE, _TIMESTAMP, _BOOLEAN = T.DateType(), T.TimestampType(), T.BooleanType()
+
+
+def struct(**fields: T.DataType) -> T.StructType:
+    """A struct of nullable fields in the given order."""
+    return T.StructType([T.StructField(name, type_) for name, type_ in fields.items()])
+
 
-PORTFOLIO_DOCUMENT = T.StructType.fromDDL(
-    """
-    run_date date,
-    portfolios array<struct<
-        portfolio_id: string,
-        portfolio_name: string,
-        base_currency: string,
-        positions: array<struct<
-            symbol: string,
-            position_quantity: decimal(20,4),
-            currency: string,
-            average_cost: decimal(20,8)>>,
-        metadata: struct<
-            risk_limits: struct<
-                max_market_value_usd: decimal(24,4),
-                max_daily_loss_usd: decimal(24,4),
-                max_position_concentration_pct: decimal(10,4)>,
-            source_system: string,
-            loaded_at: timestamp>>>
-    """
+MARKET_FEED = struct(
+    symbol=_STRING,
+    asset_class=_STRING,
+    close_price=PRICE,
+    currency=_STRING,
+    fx_rate_to_usd=FX_RATE,
+    price_date=_DATE,
+    loaded_at=_TIMESTAMP,
 )
 
-METRICS_DOCUMENT = T.StructType.fromDDL(
-    """
-    clean_trade_count bigint,
-    overall_reject_rate double,
-    pipeline_name string,
-    pnl_unresolvable_count bigint,
-    portfolio_pnl_count bigint,
-    quality_gate struct<
-        passed: boolean,
-        pnl_unresolvable_count: bigint,
-        pnl_unresolvable_threshold: bigint,
-        trade_reject_rate: double,
-        trade_reject_rate_threshold: double>,
-    rejection_count_by_rule map<string, bigint>,
-    rejection_count_by_source map<string, bigint>,
-    run_date string,
-    total_realized_pnl_usd string,
-    total_rejection_count bigint,
-    total_trade_count bigint,
-    trade_reject_rate double,
-    trade_rejection_count bigint
-    """
+_POSITION = struct(
+    symbol=_STRING, position_quantity=QUANTITY, currency=_STRING, average_cost=PRICE
+)
+_RISK_LIMITS = struct(
+    max_market_value_usd=MONEY,
+    max_daily_loss_usd=MONEY,
+    max_position_concentration_pct=PERCENTAGE,
+)
+_PORTFOLIO = struct(
+    portfolio_id=_STRING,
+    portfolio_name=_STRING,
+    base_currency=_STRING,
+    positions=T.ArrayType(_POSITION),
+    metadata=struct(risk_limits=_RISK_LIMITS, source_system=_STRING, loaded_at=_TIMESTAMP),
+)
+PORTFOLIO_DOCUMENT = struct(run_date=_DATE, portfolios=T.ArrayType(_PORTFOLIO))
+
+METRICS_DOCUMENT = struct(
+    clean_trade_count=_LONG,
+    overall_reject_rate=_DOUBLE,
+    pipeline_name=_STRING,
+    pnl_unresolvable_count=_LONG,
+    portfolio_pnl_count=_LONG,
+    quality_gate=struct(
+        passed=_BOOLEAN,
+        pnl_unresolvable_count=_LONG,
+        pnl_unresolvable_threshold=_LONG,
+        trade_reject_rate=_DOUBLE,
+        trade_reject_rate_threshold=_DOUBLE,
+    ),
+    rejection_count_by_rule=T.MapType(_STRING, _LONG),
+    rejection_count_by_source=T.MapType(_STRING, _LONG),
+    run_date=_STRING,
+    total_realized_pnl_usd=_STRING,
+    total_rejection_count=_LONG,
+    total_trade_count=_LONG,
+    trade_reject_rate=_DOUBLE,
+    trade_rejection_count=_LONG,
 )
 
 
@@ -113,66 +121,66 @@ class TableContract:
 
 
 _TRADE_TYPES = {
-    "order_id": T.StringType(),
-    "portfolio_id": T.StringType(),
-    "symbol": T.StringType(),
-    "side": T.StringType(),
+    "order_id": _STRING,
+    "portfolio_id": _STRING,
+    "symbol": _STRING,
+    "side": _STRING,
     "quantity": QUANTITY,
     "trade_price": PRICE,
     "average_cost": PRICE,
-    "currency": T.StringType(),
-    "transact_time": T.TimestampType(),
-    "trade_date": T.DateType(),
+    "currency": _STRING,
+    "transact_time": _TIMESTAMP,
+    "trade_date": _DATE,
 }
 _TRADE_LENGTHS = {"order_id": 100, "portfolio_id": 50, "symbol": 50, "side": 10, "currency": 3}
 
 _PRICED_TYPES = _TRADE_TYPES | {
     "close_price": PRICE,
-    "market_currency": T.StringType(),
+    "market_currency": _STRING,
     "fx_rate_to_usd": FX_RATE,
     "realized_pnl_local": MONEY,
     "realized_pnl_usd": MONEY,
-    "pnl_unresolvable": T.BooleanType(),
+    "pnl_unresolvable": _BOOLEAN,
 }
 
 _PORTFOLIO_TYPES = {
-    "portfolio_id": T.StringType(),
-    "portfolio_name": T.StringType(),
-    "pnl_date": T.DateType(),
-    "position_count": T.LongType(),
+    "portfolio_id": _STRING,
+    "portfolio_name": _STRING,
+    "pnl_date": _DATE,
+    "position_count": _LONG,
     "total_market_value_usd": MONEY,
     "total_unrealized_pnl_usd": MONEY,
     "max_market_value_usd": MONEY,
     "max_daily_loss_usd": MONEY,
     "max_position_concentration_pct": PERCENTAGE,
-    "market_value_limit_breached": T.BooleanType(),
-    "daily_loss_limit_breached": T.BooleanType(),
+    "market_value_limit_breached": _BOOLEAN,
+    "daily_loss_limit_breached": _BOOLEAN,
 }
 
 _REJECT_TYPES = {
-    "source_name": T.StringType(),
-    "run_date": T.DateType(),
-    "record_identifier": T.StringType(),
-    "raw_record": T.StringType(),
-    "rejection_rule": T.StringType(),
-    "rejection_reason": T.StringType(),
-    "rejected_at": T.TimestampType(),
+    "source_name": _STRING,
+    "run_date": _DATE,
+    "record_identifier": _STRING,
+    "raw_record": _STRING,
+    "rejection_rule": _STRING,
+    "rejection_reason": _STRING,
+    "rejected_at": _TIMESTAMP,
 }
 
-_UNRESOLVABLE_TYPES = _TRADE_TYPES | {"unresolvable_reason": T.StringType()}
+_UNRESOLVABLE_TYPES = _TRADE_TYPES | {"unresolvable_reason": _STRING}
 
 _LOAD_LOG_TYPES = {
-    "dag_id": T.StringType(),
-    "airflow_run_id": T.StringType(),
-    "run_date": T.DateType(),
-    "target_table": T.StringType(),
-    "source_path": T.StringType(),
-    "rows_deleted": T.LongType(),
-    "rows_inserted": T.LongType(),
-    "load_status": T.StringType(),
-    "started_at": T.TimestampType(),
-    "completed_at": T.TimestampType(),
-    "error_message": T.StringType(),
+    "dag_id": _STRING,
+    "airflow_run_id": _STRING,
+    "run_date": _DATE,
+    "target_table": _STRING,
+    "source_path": _STRING,
+    "rows_deleted": _LONG,
+    "rows_inserted": _LONG,
+    "load_status": _STRING,
+    "started_at": _TIMESTAMP,
+    "completed_at": _TIMESTAMP,
+    "error_message": _STRING,
 }
 
 TABLES = {
@@ -222,15 +230,12 @@ TABLES = {
     ]
 }
 
-LOAD_LOG = T.StructType(
-    [T.StructField("load_id", T.LongType())]
-    + [T.StructField(name, type_) for name, type_ in _LOAD_LOG_TYPES.items()]
-)
+LOAD_LOG = struct(load_id=_LONG, **_LOAD_LOG_TYPES)
 
 
 def table_schema(contract: TableContract) -> T.StructType:
     """Spark schema of a stored warehouse table."""
-    types = contract.types | {"loaded_at": T.TimestampType()}
+    types = contract.types | {"loaded_at": _TIMESTAMP}
     if contract.serial_column:
-        types = {contract.serial_column: T.LongType()} | types
-    return T.StructType([T.StructField(c, types[c]) for c in contract.table_columns])
+        types = {contract.serial_column: _LONG} | types
+    return struct(**{c: types[c] for c in contract.table_columns})
