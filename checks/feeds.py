@@ -149,6 +149,17 @@ def ctes(variant: str = FIXED, portfolio_prices: bool = False) -> list[tuple[str
     ]
 
 
+def needed(name: str, parts: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The parts that feed ``name`` is built from, itself included."""
+    sql = dict(parts)
+    wanted, open_names = set(), [name]
+    while open_names:
+        current = open_names.pop()
+        wanted.add(current)
+        open_names += [n for n in sql if n in sql[current] and n not in wanted]
+    return [(n, text) for n, text in parts if n in wanted]
+
+
 def with_clause(parts: list[tuple[str, str]]) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in parts) + "\n"
 
@@ -165,12 +176,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table for a feed.
+
+    The local test file of line items is a single row group, which one task
+    would turn into messages alone; tables on a cluster have many.
+    """
+    df = table(spark, sf_dir, name)
+    if name == "lineitem" and spark.sparkContext.master.startswith("local"):
+        return df.repartition(spark.sparkContext.defaultParallelism)
+    return df
+
+
 def feed(
     spark: SparkSession, sf_dir: str, name: str, variant: str = FIXED, portfolio_prices=False
 ) -> DataFrame:
     """One feed as a Spark DataFrame of typed columns (or message text)."""
-    sql = with_clause(ctes(variant, portfolio_prices)) + f"SELECT * FROM {name}"
-    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in TABLES})
+    sql = with_clause(needed(name, ctes(variant, portfolio_prices))) + f"SELECT * FROM {name}"
+    used = [t for t in TABLES if "{" + t + "}" in sql]
+    return spark.sql(sql, **{t: spread_table(spark, sf_dir, t) for t in used})
 
 
 def messages(spark: SparkSession, sf_dir: str, variant: str = FIXED) -> DataFrame:

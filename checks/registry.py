@@ -18,7 +18,7 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(
         *[
             F.col(f.name).cast("string").alias(f.name)
-            if isinstance(f.dataType, (T.DateType, T.TimestampType))
+            if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
             else f.name
             for f in df.schema
         ]

@@ -36,4 +36,8 @@ def run_date_column(run_date: RunDate) -> Column:
 
 def seconds_between(start: Column, end: Column) -> Column:
     """Elapsed seconds with microsecond precision."""
-    return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(1e6)
+
+    def micros(instant: Column) -> Column:
+        return F.unix_micros(instant.cast("timestamp"))
+
+    return (micros(end) - micros(start)) / F.lit(1e6)

@@ -9,7 +9,16 @@ from daybook import schemas as S
 from daybook.functions import money
 from daybook.functions.dates import RunDate, run_date_column
 from daybook.functions.rules import Rule, apply_rules, rejected_rows, valid_rows
-from daybook.functions.text import clean_code, extract_tag, is_blank, is_not_currency, normalize_symbol
+from daybook.functions.text import (
+    clean_code,
+    delimited,
+    empty_to_null,
+    is_blank,
+    is_not_currency,
+    normalize_symbol,
+    tag_position,
+    tag_value,
+)
 from daybook.operators.prices import attach_prices
 from daybook.operators.rejects import rejected_record
 
@@ -21,9 +30,24 @@ UNRESOLVABLE_REASON = "No valid same-date market price or FX rate was available.
 
 
 def parse_tagged(raw: DataFrame, tags: dict[str, str] = S.TAG_COLUMNS) -> DataFrame:
-    """One string column per tag next to the columns of ``raw``."""
-    fields = [extract_tag(F.col("raw_record"), tag).alias(name) for tag, name in tags.items()]
-    return raw.select("*", *fields)
+    """One string column per tag next to the columns of ``raw``.
+
+    ``extract_tag`` in steps: each step is used by the next more than once, so
+    Spark keeps the projections apart, evaluates every search once per row and
+    generates methods short enough for the JVM to compile.
+    """
+    fields = F.col("message_fields")
+    delimited_rows = raw.withColumn("message_fields", delimited(F.col("raw_record")))
+    found = delimited_rows.select(
+        "*", *[tag_position(fields, tag).alias(f"position_{tag}") for tag in tags]
+    )
+    values = found.select(
+        *raw.columns,
+        *[tag_value(fields, F.col(f"position_{tag}"), tag).alias(name) for tag, name in tags.items()],
+    )
+    return values.select(
+        *raw.columns, *[empty_to_null(F.col(name)).alias(name) for name in tags.values()]
+    )
 
 
 def type_trades(parsed: DataFrame) -> DataFrame:
