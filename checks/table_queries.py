@@ -386,7 +386,7 @@ def source_freshness(spark, sf_dir):
 
 @query("contract_table", expect("""
     SELECT "check", count(*) AS columns_checked, CAST(sum(failures) AS BIGINT) AS failures FROM (
-      SELECT 'not_null' AS "check", 0 AS failures FROM range(13)
+      SELECT 'not_null' AS "check", 0 AS failures FROM range(12)
       UNION ALL SELECT 'bounds', 0 FROM range(8)
       UNION ALL SELECT 'primary_key', (SELECT count(*) FROM (SELECT 1 FROM clean_trades
         WHERE pnl_unresolvable GROUP BY order_id, trade_date HAVING count(*) > 1) d)) t
