@@ -11,10 +11,12 @@ from daybook import schemas as S
 from daybook.functions import money
 from daybook.functions.rules import valid_rows
 from daybook.operators import gate as G
-from daybook.operators.market import process_market, tag_market, valid_prices
+from daybook.operators.market import market_rejects, process_market, tag_market, valid_prices
 from daybook.operators.metrics import build_metrics, metrics_json, run_totals, total_realized_pnl
 from daybook.operators.portfolio import (
     explode_positions,
+    portfolio_rejects,
+    portfolio_rollup,
     process_portfolios,
     tag_positions,
     value_positions,
@@ -27,14 +29,17 @@ from daybook.operators.rejects import (
 )
 from daybook.operators.trades import (
     PRICED_COLUMNS,
+    TRADE_TAGS,
     decode_side,
     parse_tagged,
     process_trades,
     tag_trades,
     trade_pnl,
+    trade_rejects,
     type_trades,
-    unresolvable_trades,
 )
+from daybook.plans.pipeline import half, stage
+from daybook.sources.session import work_folder
 
 DAY = X.RUN_DATE
 REJECT = ["source_name", "run_date", "record_identifier", "raw_record", "rejection_rule", "rejection_reason"]
@@ -52,7 +57,9 @@ def prices(spark, sf_dir, variant=X.FIXED, portfolio_prices=False):
 
 
 def trades(spark, sf_dir, variant=X.FIXED, null_side_passes=False):
-    return process_trades(X.messages(spark, sf_dir, variant), F.col("dt"), null_side_passes)
+    """(valid, rejected) trades without the message header."""
+    messages = X.messages(spark, sf_dir, variant)
+    return process_trades(messages, F.col("dt"), null_side_passes, tags=TRADE_TAGS)
 
 
 def all_rejects(spark, sf_dir, variant=X.FIXED):
@@ -218,7 +225,7 @@ def risk_breaches(spark, sf_dir):
 
 @query("trade_pnl", expect(f"SELECT {PRICED_SQL} FROM clean_trades"), dates="transact_time trade_date")
 def clean_trades(spark, sf_dir):
-    valid = process_trades(X.messages(spark, sf_dir), DAY)[0]
+    valid = trades(spark, sf_dir)[0]
     return trade_pnl(valid, prices(spark, sf_dir))[0]
 
 
@@ -235,7 +242,7 @@ def clean_trades_daily(spark, sf_dir):
     null_side_passes=True))
 def clean_trades_null_side(spark, sf_dir):
     """A trade that passed without a side has no P&L, yet is not unresolvable."""
-    valid = process_trades(X.messages(spark, sf_dir), DAY, null_side_passes=True)[0]
+    valid = trades(spark, sf_dir, null_side_passes=True)[0]
     clean = trade_pnl(valid, prices(spark, sf_dir))[0]
     return clean.groupBy("side", "pnl_unresolvable").agg(
         F.count("*").alias("trades"), F.count("realized_pnl_usd").alias("with_pnl")
@@ -246,7 +253,7 @@ def clean_trades_null_side(spark, sf_dir):
     SELECT {TRADE_SQL}, 'No valid same-date market price or FX rate was available.' AS unresolvable_reason
     FROM clean_trades WHERE pnl_unresolvable"""), dates="transact_time trade_date")
 def unresolvable_pnl(spark, sf_dir):
-    valid = process_trades(X.messages(spark, sf_dir), DAY)[0]
+    valid = trades(spark, sf_dir)[0]
     unresolvable = trade_pnl(valid, prices(spark, sf_dir))[1]
     return unresolvable.select(*S.TABLES["unresolvable_pnl"].columns)
 
@@ -276,12 +283,33 @@ def rejection_rollup_(spark, sf_dir):
     return rejection_rollup(all_rejects(spark, sf_dir))
 
 
+def staged(spark, sf_dir, variant=X.FIXED):
+    """Valid trades, clean trades, rejects and portfolios, each feed parsed once.
+
+    The tagged feeds are written to a work folder first, as the pipeline does.
+    """
+    work = work_folder(spark, "staged")
+    day, stamp = F.col("dt"), F.col("run_date").cast("timestamp")
+    market = stage(tag_market(X.market(spark, sf_dir, variant), day), f"{work}/market")
+    quotes = valid_prices(half(market, rejected=False))
+    messages = X.messages(spark, sf_dir, variant)
+    trades = stage(tag_trades(messages, day, tags=TRADE_TAGS), f"{work}/trades")
+    documents = X.documents(spark, sf_dir, variant)
+    positions = stage(tag_positions(documents, day, quotes), f"{work}/positions")
+    valid = valid_rows(half(trades, rejected=False))
+    rejected = union_all_by_name(
+        [
+            trade_rejects(half(trades, rejected=True), stamp),
+            market_rejects(half(market, rejected=True), stamp),
+            portfolio_rejects(half(positions, rejected=True), stamp),
+        ]
+    )
+    portfolio = portfolio_rollup(value_positions(half(positions, rejected=False)))
+    return valid, trade_pnl(valid, quotes)[0], rejected, portfolio
+
+
 def totals(spark, sf_dir, variant=X.FIXED):
-    market = prices(spark, sf_dir, variant)
-    valid = trades(spark, sf_dir, variant)[0]
-    portfolio = process_portfolios(X.documents(spark, sf_dir, variant), F.col("dt"), market)[0]
-    rejected = all_rejects(spark, sf_dir, variant)
-    clean = trade_pnl(valid, market)[0]
+    valid, clean, rejected, portfolio = staged(spark, sf_dir, variant)
     return run_totals(valid, clean, rejected, portfolio), rejected
 
 

@@ -224,9 +224,9 @@ def market(
     return columns.select(row.alias("row"), "dt").select("row.*", "dt")
 
 
-# A document holds at most 64 customers times 4,096 parts: customer and part
+# A document holds at most 256 customers times 4,096 parts: customer and part
 # together are a key of the feed, so its size does not grow with the tables.
-_CUSTOMERS_PER_DOCUMENT, _PARTS_PER_DOCUMENT = 64, 4096
+_CUSTOMERS_PER_DOCUMENT, _PARTS_PER_DOCUMENT = 256, 4096
 
 
 def document_lines(spark: SparkSession, sf_dir: str, variant: str = FIXED) -> DataFrame:

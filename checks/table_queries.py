@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from checks import feeds as X
-from checks.feed_queries import PORTFOLIO_SQL, PRICED_SQL, all_rejects, prices, totals, trades
+from checks.feed_queries import PORTFOLIO_SQL, PRICED_SQL, all_rejects, prices, staged, totals, trades
 from checks.oracles import expect, expect_daily
 from checks.registry import query
 from daybook import schemas as S
@@ -45,18 +45,14 @@ def rejected_records(spark, sf_dir, variant=X.DAILY):
 
 def tables(spark, sf_dir):
     """The four tables of the fixed run date."""
-    market = prices(spark, sf_dir)
-    stamp = F.lit(AS_OF)
-    clean = trade_pnl(trades(spark, sf_dir)[0], market)[0]
-    portfolio = process_portfolios(X.documents(spark, sf_dir), F.col("dt"), market)[0]
-    return {
-        "processed_trades": clean.withColumn("loaded_at", stamp),
-        "portfolio_pnl": portfolio.withColumn("loaded_at", stamp),
-        "rejected_records": rejected_records(spark, sf_dir, X.FIXED).withColumn("loaded_at", stamp),
-        "unresolvable_pnl": unresolvable_trades(clean)
-        .select(*S.TABLES["unresolvable_pnl"].columns)
-        .withColumn("loaded_at", stamp),
+    _, clean, rejected, portfolio = staged(spark, sf_dir)
+    frames = {
+        "processed_trades": clean,
+        "portfolio_pnl": portfolio,
+        "rejected_records": with_serial_id(rejected, "rejection_id", 1),
+        "unresolvable_pnl": unresolvable_trades(clean).select(*S.TABLES["unresolvable_pnl"].columns),
     }
+    return {name: df.withColumn("loaded_at", F.lit(AS_OF)) for name, df in frames.items()}
 
 
 def load_log(spark, sf_dir):
@@ -211,7 +207,8 @@ def v_daily_rejection_metrics(spark, sf_dir):
               count(*) AS total_rejected_count FROM rejected_records GROUP BY 1) r
         ON t.metric_date = r.metric_date) j"""), dates="metric_date")
 def v_daily_quality_metrics(spark, sf_dir):
-    return V.v_daily_quality_metrics(processed_trades(spark, sf_dir), rejected_records(spark, sf_dir))
+    _, clean, rejected, _ = staged(spark, sf_dir, X.DAILY)
+    return V.v_daily_quality_metrics(clean, rejected)
 
 
 @query("v_portfolio_risk_summary", expect_daily("""

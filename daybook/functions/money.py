@@ -1,16 +1,14 @@
 """Profit, loss and market value with exact decimals.
 
-Factors are multiplied from left to right and only the final product is cast to
-money: Spark rounds each intermediate product to 38 digits, so another order
-gives other last digits. USD amounts start again from the factors; they are not
-the rounded local amount times the rate.
+Spark rounds each intermediate product to 38 digits, so factors are multiplied
+in a fixed order (price difference, quantity, side, rate) and only the end is
+cast to money. USD amounts multiply the unrounded local product by the rate,
+not the local amount in money.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
-from functools import reduce
-from operator import mul
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,9 +16,8 @@ from pyspark.sql import functions as F
 from daybook import schemas as S
 
 
-def product(*factors: Column) -> Column:
-    """Money amount of factors multiplied in the given order."""
-    return reduce(mul, factors).cast(S.MONEY)
+def as_money(amount: Column) -> Column:
+    return amount.cast(S.MONEY)
 
 
 def side_sign(side: Column) -> Column:
@@ -38,10 +35,6 @@ def price_is_unusable(close_price: Column, fx_rate: Column) -> Column:
     return close_price.isNull() | fx_rate.isNull() | (fx_rate <= 0)
 
 
-def gain_per_unit(close_price: Column, average_cost: Column) -> Column:
-    return close_price - average_cost
-
-
 def cost_or_close(average_cost: Column, close_price: Column) -> Column:
     """A position of unknown cost is valued at no gain."""
     return F.coalesce(average_cost, close_price)

@@ -123,17 +123,20 @@ def tag_positions(
 
 def value_positions(tagged: DataFrame) -> DataFrame:
     """Valid positions with market value and unrealized P&L."""
-    close, fx, quantity = F.col("close_price"), F.col("fx_rate_to_usd"), F.col("position_quantity")
+    close, quantity = F.col("close_price"), F.col("position_quantity")
     cost = money.cost_or_close(F.col("average_cost"), close)
-    gain = money.gain_per_unit(close, cost)
-    return valid_rows(tagged).withColumns(
+    products = valid_rows(tagged).withColumns(
+        {"value_product": quantity * close, "gain_product": (close - cost) * quantity}
+    )
+    value, gain, fx = F.col("value_product"), F.col("gain_product"), F.col("fx_rate_to_usd")
+    return products.withColumns(
         {
-            "market_value_local": money.product(quantity, close),
-            "market_value_usd": money.product(quantity, close, fx),
-            "unrealized_pnl_local": money.product(gain, quantity),
-            "unrealized_pnl_usd": money.product(gain, quantity, fx),
+            "market_value_local": money.as_money(value),
+            "market_value_usd": money.as_money(value * fx),
+            "unrealized_pnl_local": money.as_money(gain),
+            "unrealized_pnl_usd": money.as_money(gain * fx),
         }
-    )
+    ).drop("value_product", "gain_product")
 
 
 def portfolio_rollup(positions: DataFrame) -> DataFrame:

@@ -25,6 +25,9 @@ from daybook.operators.rejects import rejected_record
 TRADE_COLUMNS = list(S.TABLES["unresolvable_pnl"].columns[:-1])
 PRICED_COLUMNS = list(S.TABLES["processed_trades"].columns)
 
+# The tags that rules and outputs read; the rest is message header.
+TRADE_TAGS = {tag: name for tag, name in S.TAG_COLUMNS.items() if name in [*TRADE_COLUMNS, "side_code"]}
+
 # Fixed value: the reason every unresolvable trade carries.
 UNRESOLVABLE_REASON = "No valid same-date market price or FX rate was available."
 
@@ -101,10 +104,18 @@ def trade_rules(null_side_passes: bool = False) -> list[Rule]:
     ]
 
 
-def tag_trades(raw: DataFrame, run_date: RunDate, null_side_passes: bool = False) -> DataFrame:
-    """Every message parsed and typed, with its first broken rule if any."""
+def tag_trades(
+    raw: DataFrame,
+    run_date: RunDate,
+    null_side_passes: bool = False,
+    tags: dict[str, str] = S.TAG_COLUMNS,
+) -> DataFrame:
+    """Every message parsed and typed, with its first broken rule if any.
+
+    ``tags`` may be narrowed to ``TRADE_TAGS`` where no one reads the header.
+    """
     dated = raw.withColumn("run_date", run_date_column(run_date))
-    return apply_rules(type_trades(parse_tagged(dated)), trade_rules(null_side_passes))
+    return apply_rules(type_trades(parse_tagged(dated, tags)), trade_rules(null_side_passes))
 
 
 def trade_rejects(tagged: DataFrame, rejected_at=None) -> DataFrame:
@@ -121,10 +132,14 @@ def trade_rejects(tagged: DataFrame, rejected_at=None) -> DataFrame:
 
 
 def process_trades(
-    raw: DataFrame, run_date: RunDate, null_side_passes: bool = False, rejected_at=None
+    raw: DataFrame,
+    run_date: RunDate,
+    null_side_passes: bool = False,
+    rejected_at=None,
+    tags: dict[str, str] = S.TAG_COLUMNS,
 ) -> tuple[DataFrame, DataFrame]:
     """Messages -> (valid trades, reject records)."""
-    tagged = tag_trades(raw, run_date, null_side_passes)
+    tagged = tag_trades(raw, run_date, null_side_passes, tags)
     return valid_rows(tagged), trade_rejects(tagged, rejected_at)
 
 
@@ -135,27 +150,28 @@ def price_trades(trades: DataFrame, market: DataFrame, small: bool | None = None
     carried but plays no part. Without a usable price the P&L is NULL.
     """
     priced = attach_prices(trades, market, symbol="symbol", day="trade_date", small=small)
-    factors = [
-        money.gain_per_unit(F.col("close_price"), F.col("average_cost")),
-        F.col("quantity"),
-        money.side_sign(F.col("side")),
-    ]
-    resolvable = ~F.col("pnl_unresolvable")
-    return (
-        priced.withColumn(
-            "pnl_unresolvable",
-            money.price_is_unusable(F.col("close_price"), F.col("fx_rate_to_usd")),
-        )
-        .withColumns(
-            {
-                "realized_pnl_local": F.when(resolvable, money.product(*factors)),
-                "realized_pnl_usd": F.when(
-                    resolvable, money.product(*factors, F.col("fx_rate_to_usd"))
-                ),
-            }
-        )
-        .select(*PRICED_COLUMNS)
+    signed_gain = (
+        (F.col("close_price") - F.col("average_cost"))
+        * F.col("quantity")
+        * money.side_sign(F.col("side"))
+    )
+    judged = priced.withColumns(
+        {
+            "signed_gain": signed_gain,
+            "pnl_unresolvable": money.price_is_unusable(
+                F.col("close_price"), F.col("fx_rate_to_usd")
+            ),
+        }
     )
+    resolvable, gain = ~F.col("pnl_unresolvable"), F.col("signed_gain")
+    return judged.withColumns(
+        {
+            "realized_pnl_local": F.when(resolvable, money.as_money(gain)),
+            "realized_pnl_usd": F.when(
+                resolvable, money.as_money(gain * F.col("fx_rate_to_usd"))
+            ),
+        }
+    ).select(*PRICED_COLUMNS)
 
 
 def unresolvable_trades(clean: DataFrame) -> DataFrame:

@@ -22,7 +22,13 @@ from daybook.operators.portfolio import (
 )
 from daybook.operators.prices import fits_broadcast, price_lookup
 from daybook.operators.rejects import union_all_by_name
-from daybook.operators.trades import price_trades, tag_trades, trade_rejects, unresolvable_trades
+from daybook.operators.trades import (
+    TRADE_TAGS,
+    price_trades,
+    tag_trades,
+    trade_rejects,
+    unresolvable_trades,
+)
 from daybook.plans import monitoring
 from daybook.plans.models import MARTS, STAGING
 from daybook.sources import catalog, warehouse as wh
@@ -42,17 +48,23 @@ def stage(df: DataFrame, folder: str) -> DataFrame:
     Everything downstream then starts from files: the feed is parsed once, each
     half is read without the other, and a lost executor costs only its tasks.
     """
-    df.withColumn("is_rejected", F.col("rejection_rule").isNotNull()).write.partitionBy(
-        "run_date", "is_rejected"
-    ).parquet(folder)
-    schema = df.withColumn("is_rejected", F.lit(False)).schema
-    return df.sparkSession.read.schema(schema).parquet(folder)
+    marked = df.withColumn("is_rejected", F.col("rejection_rule").isNotNull())
+    marked.write.partitionBy("is_rejected").parquet(folder)
+    return df.sparkSession.read.schema(marked.schema).parquet(folder)
 
 
 def half(staged: DataFrame, rejected: bool) -> DataFrame:
     return staged.where(F.col("is_rejected") == rejected).drop("is_rejected")
 
 
+def gather_dates(df: DataFrame, date_column: str) -> DataFrame:
+    """Bring each date's rows together, so that few files are written per date.
+
+    Adaptive execution splits a date that is too large for one task.
+    """
+    return df.hint("rebalance", date_column)
+
+
 def run_pipeline(
     spark: SparkSession,
     in_root: str,
@@ -94,7 +106,8 @@ def _write_outputs(
     prices = valid_prices(half(market, rejected=False))
     small = fits_broadcast(price_lookup(prices))
 
-    trades = tag_trades(read_tagged_text(spark, f"{in_root}/trades", dates), day, null_side_passes)
+    messages = read_tagged_text(spark, f"{in_root}/trades", dates)
+    trades = tag_trades(messages, day, null_side_passes, TRADE_TAGS)
     # A valid message is fully parsed; only rejects need their text again.
     message = F.when(F.col("rejection_rule").isNotNull(), F.col("raw_record"))
     trades = stage(trades.drop("dt").withColumn("raw_record", message), f"{work}/trades")
@@ -105,8 +118,7 @@ def _write_outputs(
 
     clean = price_trades(valid_rows(half(trades, rejected=False)), prices, small)
     if not small:
-        # The shuffled join mixes dates; gather them again into files of even size.
-        clean = clean.hint("rebalance", "trade_date")
+        clean = gather_dates(clean, "trade_date")
     outputs = {name: f"{out_root}/{table.output_path}" for name, table in S.TABLES.items()}
 
     def write(name: str, df: DataFrame) -> DataFrame:
@@ -116,18 +128,18 @@ def _write_outputs(
         return written.where(F.col("dt").isin(dates)).drop("dt")
 
     clean = write("processed_trades", clean)
-    write("unresolvable_pnl", unresolvable_trades(clean).select(*S.TABLES["unresolvable_pnl"].columns))
-    portfolio = write("portfolio_pnl", portfolio_rollup(value_positions(half(positions, rejected=False))))
-    rejected = write(
-        "rejected_records",
-        union_all_by_name(
-            [
-                trade_rejects(half(trades, rejected=True)),
-                market_rejects(half(market, rejected=True)),
-                portfolio_rejects(half(positions, rejected=True)),
-            ]
-        ),
+    unresolvable = unresolvable_trades(clean)
+    write("unresolvable_pnl", unresolvable.select(*S.TABLES["unresolvable_pnl"].columns))
+    rollup = portfolio_rollup(value_positions(half(positions, rejected=False)))
+    portfolio = write("portfolio_pnl", gather_dates(rollup, "pnl_date"))
+    rejects = union_all_by_name(
+        [
+            trade_rejects(half(trades, rejected=True)),
+            market_rejects(half(market, rejected=True)),
+            portfolio_rejects(half(positions, rejected=True)),
+        ]
     )
+    rejected = write("rejected_records", gather_dates(rejects, "run_date"))
 
     every_date = spark.createDataFrame([(d,) for d in dates], "run_date date")
     totals = run_totals(half(trades, rejected=False), clean, rejected, portfolio, every_date)

@@ -106,6 +106,6 @@ def test_product_types_round_step_by_step(spark):
     sign = money.side_sign(F.lit("BUY"))
     assert df.select(step * sign).dtypes[0][1] == "decimal(38,6)"
     assert df.select(step * sign * fx).dtypes[0][1] == "decimal(38,6)"
-    assert df.select(money.product(gain, quantity, sign, fx)).dtypes[0][1] == "decimal(24,4)"
+    assert df.select(money.as_money(step * sign * fx)).dtypes[0][1] == "decimal(24,4)"
     # 1.33333333 * 3.3333 = 4.44439998..., then * 1.1234567891, half up
-    assert df.select(money.product(gain, quantity, fx)).first()[0] == D("4.9931")
+    assert df.select(money.as_money(step * fx)).first()[0] == D("4.9931")
