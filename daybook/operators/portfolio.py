@@ -86,19 +86,23 @@ def price_rules() -> list[Rule]:
     ]
 
 
-def tag_positions(
-    documents: DataFrame, run_date: RunDate, market: DataFrame, small: bool | None = None
-) -> DataFrame:
-    """Every position priced, with its first broken rule if any.
+def judge_positions(documents: DataFrame, run_date: RunDate) -> DataFrame:
+    """Every position with the first document check it fails, if any.
 
-    ``documents`` may carry the run date as a column ``dt``. Positions that
-    fail a document check go through the join unpriced, so that one pass over
-    the documents yields both the valued and the rejected rows.
+    ``documents`` may carry the run date as a column ``dt``.
     """
     # The document has a run_date of its own, so the argument is resolved under another name.
     dated = documents.withColumn("expected_date", run_date_column(run_date))
     positions = explode_positions(dated).withColumnRenamed("expected_date", "run_date")
-    judged = apply_rules(positions, position_rules())
+    return apply_rules(positions, position_rules())
+
+
+def price_positions(judged: DataFrame, market: DataFrame, small: bool | None = None) -> DataFrame:
+    """Judged positions with their price and, where it is missing, that verdict.
+
+    Positions that failed a document check go through the join unpriced, so
+    that one pass yields both the valued and the rejected rows.
+    """
     priced = attach_prices(
         judged,
         market,
@@ -121,6 +125,13 @@ def tag_positions(
     )
 
 
+def tag_positions(
+    documents: DataFrame, run_date: RunDate, market: DataFrame, small: bool | None = None
+) -> DataFrame:
+    """Every position priced, with its first broken rule if any."""
+    return price_positions(judge_positions(documents, run_date), market, small)
+
+
 def value_positions(tagged: DataFrame) -> DataFrame:
     """Valid positions with market value and unrealized P&L."""
     close, quantity = F.col("close_price"), F.col("position_quantity")

@@ -15,9 +15,10 @@ from daybook.operators.gate import MAX_REJECT_RATE, MAX_UNRESOLVABLE, quality_ga
 from daybook.operators.market import market_rejects, tag_market, valid_prices
 from daybook.operators.metrics import build_metrics, run_totals
 from daybook.operators.portfolio import (
+    judge_positions,
     portfolio_rejects,
     portfolio_rollup,
-    tag_positions,
+    price_positions,
     value_positions,
 )
 from daybook.operators.prices import fits_broadcast, price_lookup
@@ -113,8 +114,11 @@ def _write_outputs(
     trades = stage(trades.drop("dt").withColumn("raw_record", message), f"{work}/trades")
 
     documents = read_portfolio_json(spark, f"{in_root}/portfolio", dates)
-    positions = tag_positions(documents, day, prices, small)
-    positions = stage(positions.drop("dt"), f"{work}/portfolio")
+    judged = judge_positions(documents, day).drop("dt")
+    if not small:
+        # The shuffled join reads its rows twice; spare the documents a second parse.
+        judged = stage(judged, f"{work}/documents").drop("is_rejected")
+    positions = stage(price_positions(judged, prices, small), f"{work}/portfolio")
 
     clean = price_trades(valid_rows(half(trades, rejected=False)), prices, small)
     if not small:

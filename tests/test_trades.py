@@ -139,3 +139,17 @@ def test_many_dates_at_once(spark):
     assert sorted(r["trade_date"] for r in valid.collect()) == [DAY, other]
     (reject,) = rejected.collect()
     assert (reject["run_date"], reject["rejection_rule"]) == (other, "TRADE_DATE_MISMATCH")
+
+
+def test_random_messages_against_brute_force(spark):
+    import random
+    import re
+
+    chance = random.Random(7)
+    lines = ["".join(chance.choice("|||==115 5A") for _ in range(chance.randrange(0, 40))) for _ in range(3000)]
+    df = spark.createDataFrame([(line,) for line in lines], "raw_record string")
+    for tag in ("1", "11", "55"):
+        found = {r["raw_record"]: r["field"] for r in parse_tagged(df, {tag: "field"}).collect()}
+        for line in lines:
+            match = re.search(rf"(?:^|\|){tag}=([^|]*)", line)
+            assert found[line] == ((match.group(1).strip(" ") or None) if match else None), line
