@@ -36,6 +36,7 @@ from daybook.sources import catalog, warehouse as wh
 from daybook.sources.readers import (
     read_market_csv,
     read_metrics,
+    read_partitions,
     read_portfolio_json,
     read_tagged_text,
 )
@@ -128,8 +129,7 @@ def _write_outputs(
     def write(name: str, df: DataFrame) -> DataFrame:
         dated = df.withColumn("dt", F.col(S.TABLES[name].partition_column))
         write_partitions(dated, outputs[name], dates)
-        written = spark.read.schema(dated.schema).parquet(outputs[name])
-        return written.where(F.col("dt").isin(dates)).drop("dt")
+        return read_partitions(spark, outputs[name], dates, schema=dated.schema).drop("dt")
 
     clean = write("processed_trades", clean)
     unresolvable = unresolvable_trades(clean)

@@ -7,17 +7,20 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from daybook import schemas as S
 from daybook.functions.dates import parse_run_date
 from daybook.operators.rejects import union_all_by_name
 
 
-def partition_paths(root: str, run_dates: list[date | str] | None) -> list[str]:
-    """The ``dt=`` folders of the given dates, or the root for all of them."""
+def partition_paths(
+    root: str, run_dates: list[date | str] | None, date_column: str = "dt"
+) -> list[str]:
+    """The folders of the given dates, or the root for all of them."""
     if run_dates is None:
         return [root]
-    return [f"{root}/dt={parse_run_date(d).isoformat()}" for d in run_dates]
+    return [f"{root}/{date_column}={parse_run_date(d).isoformat()}" for d in run_dates]
 
 
 def _reader(spark: SparkSession, root: str):
@@ -58,12 +61,25 @@ def read_portfolio_json(
     )
 
 
+def read_partitions(
+    spark: SparkSession,
+    root: str,
+    run_dates: list[date | str],
+    date_column: str = "dt",
+    schema: StructType | None = None,
+) -> DataFrame:
+    """Some dates of a partitioned table; other dates' folders are not even listed."""
+    reader = _reader(spark, root)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(*partition_paths(root, run_dates, date_column))
+
+
 def read_partition(
     spark: SparkSession, root: str, run_date: date | str, date_column: str = "dt"
 ) -> DataFrame:
     """One date of a partitioned table; a date without a folder is an error."""
-    folder = f"{root}/{date_column}={parse_run_date(run_date).isoformat()}"
-    return _reader(spark, root).parquet(folder)
+    return read_partitions(spark, root, [run_date], date_column)
 
 
 def read_metrics(spark: SparkSession, root: str, run_dates: list[date | str]) -> DataFrame:
