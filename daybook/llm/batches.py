@@ -52,33 +52,48 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
-    """A hash of each run of ``size`` consecutive values, by starting position."""
-    count = len(hashes) - size + 1
-    if count <= 0:
+    """A hash of each run of ``size`` consecutive values, by starting position; runs are joined from halves."""
+    if len(hashes) < size:
         return np.empty(0, np.uint64)
-    out = np.zeros(count, np.uint64)
+    factor = 0x9E3779B97F4A7C15
+    out, out_size = None, 0
+    power, power_size = hashes, 1
     with np.errstate(over="ignore"):
-        for i in range(size):
-            out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + count]
-    return mixed(out)
-
-
-def minimizers(order: np.ndarray, width: int) -> np.ndarray:
-    """Positions of the leftmost least value of each run of ``width`` values, ascending.
-
-    Runs with the same values pick the same place, wherever they stand.
+        while True:
+            if size & power_size:
+                if out is None:
+                    out = power
+                else:
+                    n = min(len(out), len(power) - out_size)
+                    out = out[:n] * np.uint64(pow(factor, power_size, 1 << 64)) + power[out_size : out_size + n]
+                out_size += power_size
+            if out_size == size:
+                return mixed(out[: len(hashes) - size + 1])
+            n = len(power) - power_size
+            power = power[:n] * np.uint64(pow(factor, power_size, 1 << 64)) + power[power_size:]
+            power_size *= 2
+
+
+def minimizers(order: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the leftmost least value of each run of ``width`` values.
+
+    Returns (place, first run, last run) for each place; every run belongs to one
+    place, and runs with the same values pick the same place in them.
     """
-    if len(order) < width:
-        return np.empty(0, np.int64)
-    best, reach = order, 1
-    at = np.arange(len(order))
-    while reach < width:
-        step = min(reach, width - reach)
-        left, right = slice(0, len(best) - step), slice(step, len(best))
-        later = best[right] < best[left]
-        best, at = np.where(later, best[right], best[left]), np.where(later, at[right], at[left])
-        reach += step
-    return np.unique(at)
+    n = len(order)
+    if n < width:
+        return (np.empty(0, np.int64),) * 3
+    bits = np.uint64(max(16, int(n).bit_length()))
+    marked = (order >> bits << bits) | np.arange(n, dtype=np.uint64)
+    padded = np.full(-(-n // width) * width, np.iinfo(np.uint64).max, np.uint64)
+    padded[:n] = marked
+    blocks = padded.reshape(-1, width)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    runs = n - width + 1
+    place = (np.minimum(behind[:runs], ahead[width - 1 : width - 1 + runs]) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    first = np.concatenate(([0], np.flatnonzero(np.diff(place)) + 1))
+    return place[first], first, np.concatenate((first[1:], [runs])) - 1
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, license_scan, packing, quality_rules, secret_scan, url_filter
+from . import decontamination, language_id, license_scan, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, url_filter
 from .registry import query, table
 
 #: The rules of the URL query.
@@ -151,3 +151,47 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         base.isNotNull().alias("base_failed"),
         quality_rules.cascade(order, F.col).isNull().alias("kept"),
     )
+
+
+OP9_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT r, unnest(range(0, length(h) // 2 - 199)) AS i FROM d WHERE length(h) >= 400),
+w AS (SELECT s.r, i, md5(substr(h, 2 * i + 1, 400)) AS k FROM s JOIN d USING (r)),
+hit AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY k) AS n FROM w) WHERE n > 1),
+run AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 200 THEN 0 ELSE 1 END AS new FROM hit),
+grp AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS g FROM run),
+span AS (SELECT r, min(i) AS a, max(i) + 200 AS b, g FROM grp GROUP BY r, g),
+gap AS (SELECT r, b AS a, lead(a) OVER (PARTITION BY r ORDER BY a) AS b FROM span
+        UNION ALL SELECT r, 0, min(a) FROM span GROUP BY r),
+kept AS (SELECT gap.r, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, length(h) // 2) - a)), '' ORDER BY a) AS k FROM gap JOIN d USING (r) GROUP BY gap.r),
+tot AS (SELECT r, count(*) AS n, sum(b - a) AS m FROM span GROUP BY r)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(m, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans,
+  sha256(unhex(CASE WHEN n IS NULL THEN h ELSE coalesce(k, '') END)) AS kept_sha256
+FROM d LEFT JOIN tot USING (r) LEFT JOIN kept USING (r)"""
+
+
+@query("op9_suffix_dedup", OP9_SQL)
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to byte strings that stand elsewhere."""
+    return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+k AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS k FROM s),
+hit AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY k) AS n FROM k) WHERE n > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS i FROM hit),
+kept AS (
+  SELECT a.r, string_agg(a.x, ' ' ORDER BY a.i) AS t, count(*) AS n
+  FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d) a
+  LEFT JOIN gone g ON a.r = g.r AND a.i = g.i WHERE g.i IS NULL GROUP BY a.r
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
+
+
+@query("op10_substring_dedup", OP10_SQL)
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to word sequences that stand elsewhere."""
+    return substring_dedup.repeated_words(table(spark, sf_dir, "documents"))
