@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language_id, license_scan, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, url_filter
+from . import decontamination, jaccard_join, language_id, license_scan, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, url_filter
 from .registry import query, table
 
 #: The rules of the URL query.
@@ -195,3 +195,24 @@ FROM d LEFT JOIN kept USING (r)"""
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document loses to word sequences that stand elsewhere."""
     return substring_dedup.repeated_words(table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT r, doc_id, array_to_string(w[i:i + 4], ' ') AS x
+  FROM (SELECT r, doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (SELECT r, doc_id, count(*) AS n FROM s GROUP BY r, doc_id),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS o FROM s a JOIN s b ON a.x = b.x AND a.r <> b.r GROUP BY a.r, b.r),
+e AS (SELECT p.a, p.b FROM p JOIN n x ON x.r = p.a JOIN n y ON y.r = p.b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+c AS (SELECT r AS root, r AS r FROM d UNION SELECT c.root, e.b FROM c JOIN e ON c.r = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+FROM d LEFT JOIN n ON n.r = d.r
+JOIN (SELECT c.root, min(t.doc_id) AS component_id FROM c JOIN d t ON t.r = c.r GROUP BY c.root) m ON m.root = d.r"""
+
+
+@query("op5_jaccard_join", OP5_SQL)
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of every document under links of 5-word Jaccard similarity 0.8."""
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
