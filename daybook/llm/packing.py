@@ -14,6 +14,7 @@ and the text is read, so other columns may have any name.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -26,9 +27,13 @@ from .batches import slices, stored
 SEQUENCE_TOKENS = 2048
 CLASS_TOKENS = 8
 TOLERANCE = 0.004
-WORDS_KEPT = 300_000
+#: Words held by a worker process, about 170 bytes each.
+WORDS_KEPT = 1_000_000
 RANK_BUCKET_ROWS = 20_000
 
+#: A letter, and the mark that ends its word.
+MARK = re.compile(rb"([a-z])([.,])(?=[\x20\x09-\x0D]|\Z)")
+
 _encoders: dict[str, "WordEncoder"] = {}
 
 
@@ -36,7 +41,10 @@ class WordEncoder(dict):
     """Ids of words as little-endian 32-bit bytes, encoded once each.
 
     The vocabulary's pre-tokenizer always splits at white space and drops it, so
-    the ids of a text are the ids of its words in turn.
+    the ids of a text are the ids of its words in turn. It also lower-cases, and
+    parts a letter from the full stop or comma that ends a word; so words are held
+    in lower case and without that mark. Texts that spell a special token, which is
+    matched as written, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -44,21 +52,30 @@ class WordEncoder(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.learn({b".", b","})
 
     def learn(self, words: set[bytes]) -> None:
         new = [w for w in words if w not in self]
         if len(self) + len(new) > WORDS_KEPT:
             self.clear()
-            new = list(words)
+            new = list(words | {b".", b","})
         for start in range(0, len(new), 5000):
             part = new[start : start + 5000]
-            encoded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(part, encoded))
+            self.update(zip(part, self.encoded([w.decode() for w in part])))
+
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        words = [t.split() for t in texts]
+        lower = [t.lower() for t in texts]
+        whole = {i for i, t in enumerate(lower) if any(s in t for s in self.special)}
+        words = [[] if i in whole else MARK.sub(rb"\1 \2", t).split() for i, t in enumerate(lower)]
         self.learn(set().union(*words))
-        return [b"".join(map(self.__getitem__, w)) for w in words]
+        out = [b"".join(map(self.__getitem__, w)) for w in words]
+        for i in whole:
+            out[i] = self.encoded([texts[i].decode()])[0]
+        return out
 
 
 def encoder(path: str) -> WordEncoder:
