@@ -82,7 +82,7 @@ def repeated_in(contexts: list[bytes], counts: list[int], least: int = LEAST_BYT
         if count > 1:
             out.append([(0, size)])
             continue
-        places = np.flatnonzero(twice[start : start + size - least + 1])
+        places = np.flatnonzero(twice[start : start + max(0, size - least + 1)])
         cuts = np.flatnonzero(np.diff(places) > least)
         firsts = places[np.concatenate(([0], cuts + 1))] if len(places) else places
         lasts = places[np.concatenate((cuts, [len(places) - 1]))] if len(places) else places
