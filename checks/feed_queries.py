@@ -346,8 +346,8 @@ def total_realized(spark, sf_dir):
 
 
 _METRICS = ("metrics", """
-    SELECT *, round(trade_rejection_count::DOUBLE / total_trade_count, 6) AS trade_reject_rate,
-      round(total_rejection_count::DOUBLE / total_trade_count, 6) AS overall_reject_rate
+    SELECT *, CASE WHEN total_trade_count > 0 THEN round(trade_rejection_count::DOUBLE / total_trade_count, 6) ELSE 0 END AS trade_reject_rate,
+      CASE WHEN total_trade_count > 0 THEN round(total_rejection_count::DOUBLE / total_trade_count, 6) ELSE 0 END AS overall_reject_rate
     FROM run_counts""")
 
 
@@ -381,10 +381,10 @@ def metrics_document(spark, sf_dir):
 @query("quality_gate", expect_daily("""
     SELECT run_date, trade_reject_rate, pnl_unresolvable_count,
       trade_reject_rate < 0.05 AND pnl_unresolvable_count < 5 AS passed
-    FROM metrics WHERE total_trade_count > 0""", _RUN_COUNTS, _METRICS), dates="run_date")
+    FROM metrics""", _RUN_COUNTS, _METRICS), dates="run_date")
 def quality_gate(spark, sf_dir):
     """The gate per date with thresholds of its own."""
-    metrics = build_metrics(*totals(spark, sf_dir, X.DAILY)).where("total_trade_count > 0")
+    metrics = build_metrics(*totals(spark, sf_dir, X.DAILY))
     judged = G.quality_gate(metrics, max_reject_rate=0.05, max_unresolvable=5)
     return judged.select("run_date", "trade_reject_rate", "pnl_unresolvable_count", "passed")
 
@@ -394,10 +394,10 @@ def quality_gate(spark, sf_dir):
       trade_reject_rate < 0.05 AND pnl_unresolvable_count < 5 AS passed,
       (trade_reject_rate < 0.02 AND pnl_unresolvable_count < 100)
         <> (trade_reject_rate < 0.05 AND pnl_unresolvable_count < 5) AS disagrees
-    FROM metrics WHERE total_trade_count > 0""", _RUN_COUNTS, _METRICS), dates="run_date")
+    FROM metrics""", _RUN_COUNTS, _METRICS), dates="run_date")
 def gate_disagreement(spark, sf_dir):
     """Dates on which other thresholds overturn the recorded verdict."""
-    metrics = build_metrics(*totals(spark, sf_dir, X.DAILY)).where("total_trade_count > 0")
+    metrics = build_metrics(*totals(spark, sf_dir, X.DAILY))
     judged = G.quality_gate(metrics, max_reject_rate=0.05, max_unresolvable=5)
     return judged.select("run_date", "recorded_passed", "passed", "disagrees")
 
@@ -405,10 +405,10 @@ def gate_disagreement(spark, sf_dir):
 @query("gate_missing_metrics", expect_daily("""
     SELECT run_date, CASE WHEN trade_rejection_count > 0 THEN '' ELSE 'trade_reject_rate' END AS missing_metrics,
       CASE WHEN trade_rejection_count > 0 THEN trade_reject_rate < 0.02 AND pnl_unresolvable_count < 100 END AS passed
-    FROM metrics WHERE total_trade_count > 0""", _RUN_COUNTS, _METRICS), dates="run_date")
+    FROM metrics""", _RUN_COUNTS, _METRICS), dates="run_date")
 def gate_missing_metrics(spark, sf_dir):
     """Documents that lost their rate get a name for it and no verdict."""
-    metrics = build_metrics(*totals(spark, sf_dir, X.DAILY)).where("total_trade_count > 0")
+    metrics = build_metrics(*totals(spark, sf_dir, X.DAILY))
     lost = F.col("trade_rejection_count") == 0
     rate = F.when(~lost, F.col("trade_reject_rate"))
     damaged = metrics.withColumn("trade_reject_rate", rate).withColumn(

@@ -371,13 +371,13 @@ def contract_lengths(spark, sf_dir):
       CASE WHEN hours > 24 THEN 1 ELSE 0 END::BIGINT AS failures,
       CASE WHEN hours > 48 THEN 'error' WHEN hours > 24 THEN 'warn' ELSE 'pass' END AS status
     FROM (SELECT event_type, (epoch_us(TIMESTAMP '2024-01-31 12:00:00') - epoch_us(max(ts))) / 3.6e9 AS hours
-      FROM events WHERE event_type IN ('click', 'error') GROUP BY 1) t""")
+      FROM events GROUP BY 1) t""")
 def source_freshness(spark, sf_dir):
     events = X.table(spark, sf_dir, "events")
     as_of = datetime(2024, 1, 31, 12)
     return union_all_by_name([
         C.check_freshness(events.where(F.col("event_type") == kind), kind, "ts", as_of)
-        for kind in ("click", "error")
+        for kind in sorted(r["event_type"] for r in events.select("event_type").distinct().collect())
     ])
 
 

@@ -11,8 +11,6 @@ BROADCAST_SYMBOL_BYTES = 32 * 1024 * 1024
 
 # Above this many rows of one symbol and day, the shuffled join splits the key.
 ROWS_PER_SALT = 1_000_000
-# A key outside the most frequent HOT_KEYS holds less than 1/HOT_KEYS of the rows.
-HOT_KEYS = 10_000
 
 
 def price_lookup(market: DataFrame) -> DataFrame:
@@ -80,6 +78,27 @@ def attach_prices(
     return joined.drop("key_symbol", "key_day", "market_symbol", "price_date")
 
 
+def _frequent_keys(keyed: DataFrame, rows_per_salt: int, max_keys: int = BROADCAST_ROWS) -> DataFrame:
+    """(hot_symbol, hot_day, salts) of every key with more rows than a salt takes.
+
+    The keys are counted by the doublings of ``rows_per_salt`` they hold; it is
+    doubled until at most ``max_keys`` keys remain. None of these is left out.
+    """
+    counts = (
+        keyed.where(F.col("key_symbol").isNotNull() & F.col("key_day").isNotNull())
+        .groupBy(F.col("key_symbol").alias("hot_symbol"), F.col("key_day").alias("hot_day"))
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") > rows_per_salt)
+    )
+    doublings = F.floor(F.log2((F.col("n") - 1) / rows_per_salt)).alias("doublings")
+    sizes = {r["doublings"]: r["count"] for r in counts.groupBy(doublings).count().collect()}
+    steps = 0
+    while sum(count for held, count in sizes.items() if held >= steps) > max_keys:
+        steps += 1
+    rows = rows_per_salt * 2**steps
+    return counts.where(F.col("n") > rows).select("hot_symbol", "hot_day", F.ceil(F.col("n") / rows).alias("salts"))
+
+
 def _salt_frequent_keys(
     keyed: DataFrame, prices: DataFrame, row_columns: list[str], rows_per_salt: int
 ) -> tuple[DataFrame, DataFrame]:
@@ -90,16 +109,7 @@ def _salt_frequent_keys(
     lost executor's task is run again; adaptive execution splits what identical
     copies of one row still leave in a large partition.
     """
-    frequent = (
-        keyed.where(F.col("key_symbol").isNotNull() & F.col("key_day").isNotNull())
-        .groupBy(F.col("key_symbol").alias("hot_symbol"), F.col("key_day").alias("hot_day"))
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > rows_per_salt)
-        .orderBy(F.desc("n"), "hot_symbol", "hot_day")
-        .limit(HOT_KEYS)
-        .select("hot_symbol", "hot_day", F.ceil(F.col("n") / rows_per_salt).alias("salts"))
-    )
-    frequent = F.broadcast(frequent)
+    frequent = F.broadcast(_frequent_keys(keyed, rows_per_salt))
     salts = F.coalesce(F.col("salts"), F.lit(1))
     content = F.xxhash64(*row_columns)
 

@@ -39,6 +39,7 @@ from daybook.sources.readers import (
     read_partitions,
     read_portfolio_json,
     read_tagged_text,
+    require_source_dates,
 )
 from daybook.sources.session import remove_folder, work_folder
 from daybook.sources.writers import write_metrics, write_partitions
@@ -79,10 +80,12 @@ def run_pipeline(
     """Process the feeds of one or many dates; returns their metrics.
 
     Reads ``trades``, ``market_data`` and ``portfolio`` under ``in_root``, each
-    by ``dt=``; a date without a folder is an error. Replaces the dates' folders
+    by ``dt=``; a feed without files for a date is an error, raised before anything
+    is written. Replaces the dates' folders
     of the four outputs and the metrics under ``out_root``.
     """
     dates = [parse_run_date(d) for d in run_dates]
+    require_source_dates(spark, in_root, dates)
     work = work_folder(spark, "run")
     try:
         metrics = _write_outputs(spark, in_root, out_root, dates, work, null_side_passes)

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from daybook import schemas as S
 from daybook.functions.dates import parse_run_date
 from daybook.operators.rejects import union_all_by_name
+from daybook.sources.session import file_names
 
 
 def partition_paths(
@@ -133,6 +134,24 @@ def source_inventory(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     )
 
 
+def require_source_dates(
+    spark: SparkSession, in_root: str, run_dates: list[date], expected: list[str] = S.SOURCES
+) -> None:
+    """Raise with the name of every (feed, date) that has no file.
+
+    Only the given dates' folders are listed, one listing per feed; contents are
+    not read. A date with files but without rows passes, even if they are empty.
+    """
+    days = sorted({d.isoformat() for d in run_dates})
+    absent = []
+    for source in expected:
+        names = file_names(spark, f"{in_root}/{source}/dt={{{','.join(days)}}}/*")
+        present = {name.rpartition("/")[0].rpartition("dt=")[2] for name in names}
+        absent += [f"{source} {d}" for d in days if d not in present]
+    if absent:
+        raise FileNotFoundError(f"No source files for: {', '.join(absent)}")
+
+
 def missing_sources(inventory: DataFrame, expected: list[str] = S.SOURCES) -> DataFrame:
     """Expected feeds that have no file."""
     spark = inventory.sparkSession

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,16 +40,24 @@ def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder for intermediate tables, on storage all executors share.
 
     It lies under ``spark.checkpoint.dir``. Only a local session may go
-    without that setting; it then uses the machine's temporary folder.
+    without that setting; its folders then lie beside its tables.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
-        root = tempfile.mkdtemp(prefix="daybook-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def file_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the files that a pattern names, empty files too; hidden files are left out."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    names = [status.getPath().toString() for status in found or [] if status.isFile()]
+    return [name for name in names if not name.rpartition("/")[2].startswith(("_", "."))]
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a work folder once nothing reads it any more."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

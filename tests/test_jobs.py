@@ -84,8 +84,24 @@ def test_shuffled_join_gives_the_same_outputs(spark, root, monkeypatch):
 
 
 def test_pipeline_needs_every_date(spark, root):
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    with pytest.raises(FileNotFoundError, match="trades 2026-08-09, market_data 2026-08-09, portfolio 2026-08-09"):
         run(spark, root, [DAY, date(2026, 8, 9)])
+    assert not os.path.exists(f"{root}/out")
+
+
+def test_empty_source_date_leaves_everything_as_it_is(spark, root):
+    run(spark, root, [DAY, NEXT], max_reject_rate=0.5)
+    before = spark.read.parquet(f"{root}/out/processed/trades").count()
+    for feed in ("trades", "portfolio"):
+        for name in os.listdir(f"{root}/in/{feed}/dt={NEXT}"):
+            os.remove(f"{root}/in/{feed}/dt={NEXT}/{name}")
+    with pytest.raises(FileNotFoundError, match=f"for: trades {NEXT}, portfolio {NEXT}$"):
+        run(spark, root, [DAY, NEXT], max_reject_rate=0.5)
+    assert spark.read.parquet(f"{root}/out/processed/trades").count() == before
+    put(f"{root}/in/trades/dt={NEXT}/trades.fix", "")
+    put(f"{root}/in/portfolio/dt={NEXT}/portfolio.json", json.dumps({"run_date": str(NEXT), "portfolios": []}))
+    metrics = run(spark, root, [NEXT])
+    assert metrics[str(NEXT)]["total_trade_count"] == 0 and metrics[str(NEXT)]["quality_gate"]["passed"]
 
 
 def test_warehouse_models_and_views(spark, root):
