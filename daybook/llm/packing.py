@@ -28,7 +28,9 @@ SEQUENCE_TOKENS = 2048
 CLASS_TOKENS = 8
 TOLERANCE = 0.004
 #: Words held by a worker process, about 170 bytes each.
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 400_000
+#: Bytes of text split into words at once.
+SPLIT_BYTES = 1_000_000
 RANK_BUCKET_ROWS = 20_000
 
 #: A letter, and the mark that ends its word.
@@ -102,7 +104,7 @@ def token_pieces(
         end = int(end_id).to_bytes(4, "little")
         words = encoder(vocabulary)
         for batch in batches:
-            for part, texts in slices(batch, "text"):
+            for part, texts in slices(batch, "text", SPLIT_BYTES):
                 rows, columns, pieces = [], [], []
                 for i, ids in enumerate(words.ids(texts)):
                     ids += end
