@@ -144,7 +144,7 @@ def test_repeats_of_nothing(spark):
     assert suffix_dedup.repeated_bytes(empty).collect() == []
     assert substring_dedup.repeated_words(empty).collect() == []
     kept = sorted(substring_dedup.without_repeated_words(table(spark, ["a  b", None, "c " * 40])).collect())
-    assert [r.kept for r in kept] == ["a b", "", "c"] or [r.kept for r in kept] == ["a b", "", ""]
+    assert [r.kept for r in kept] == ["a b", "", ""]
 
 
 def test_suffix_automaton_counts_places():
