@@ -229,6 +229,34 @@ def test_kneser_ney_sums_to_one():
     assert 0.95 < total <= 1.0
 
 
+def test_shards_keep_all_grams(spark):
+    rng = np.random.default_rng(1)
+    letters = {"aa": "abcdefgh", "bb": "efghijkl", "rare": "xyzéñ"}
+
+    def text(lang, words):
+        return " ".join("".join(rng.choice(list(letters[lang]), 5)) for _ in range(words))
+
+    langs = ["aa"] * 40 + ["bb"] * 40 + ["rare"] * 2
+    texts = [text(lang, 50 if lang != "rare" else 6) for lang in langs]
+    tests = table(spark, [*(text(lang, 20) for lang in langs), "zzz qqq", *ODD])
+    train = table(spark, texts, langs)
+    whole = {}
+    for lang in letters:
+        keys = np.concatenate([language_id.grams([t.encode()])[0] for t, own in zip(texts, langs) if own == lang])
+        whole[lang] = language_id.KneserNey(*np.unique(keys, return_counts=True))
+    for cells, several in ((10**9, False), (400, True)):
+        model = language_id.fit(train, cells=cells)
+        rows = language_id.classify(tests.withColumn("own", tests.text), model, keep=("own",)).collect()
+        for r in rows:
+            keys, sizes, count = language_id.grams([(r.own or "").encode()])
+            if count[0]:
+                bits = {lang: -m.log2(keys).sum() / sizes[0] for lang, m in whole.items()}
+                assert r.bits == pytest.approx(min(bits.values()), rel=1e-5)
+                assert bits[r.lang_pred] == pytest.approx(min(bits.values()), rel=1e-5)
+        assert [r.lang_pred for r in sorted(rows)[80:82]] == ["rare"] * 2
+        assert (len(model.shards) > 1) == several
+
+
 def test_licences(spark):
     S = license_scan.SENTENCES
     texts = [
