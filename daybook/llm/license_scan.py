@@ -3,8 +3,8 @@
 A text is cut into fragments at line ends and sentence ends. Fragments are
 normalised to lower-case words and joined, over wrapped lines too, into known
 sentences, each with an identifier. Identifier sequences are then matched against
-ordered rules, longest first; a rule may skip a few unknown fragments between its
-sentences.
+ordered rules, longest first; a rule may skip a few unknown sentences between its
+own. Unknown fragments are joined into sentences too, so wrapping changes no gap.
 
 Defined results: NULL and empty texts have no rows, nor have texts without a known
 sentence; a licence named twice has two rows; equal rows are scanned one by one;
@@ -81,7 +81,7 @@ RULES = (
     ("all-rights-reserved", ("rights",)),
 )
 
-#: Fragments between two sentences of a rule that may be unknown.
+#: Sentences between two sentences of a rule that may be unknown; the clauses of BSD-3-Clause have five with their numbers.
 GAP = 8
 #: Every sentence holds one of these; texts without any are not cut up.
 TRIGGERS = (b"licen", b"permission", b"redistribut", b"warranty", b"public domain", b"rights reserved", b"copyright")
@@ -94,6 +94,11 @@ def normalised(text: str) -> tuple[str, ...]:
     return tuple(WORD.findall(text.lower()))
 
 
+def continues(text: str, end: int, start: int) -> bool:
+    """Whether the sentence of a fragment ending at ``end`` goes on in the next, which begins at ``start``."""
+    return text[end - 1] not in ".!?:;" and text.count("\n", end, start) < 2
+
+
 class SentenceBook:
     """Known sentences by their words, and all beginnings of these."""
 
@@ -102,7 +107,11 @@ class SentenceBook:
         self.beginnings = {words[:i] for words in self.ids for i in range(1, len(words) + 1)}
 
     def identifiers(self, text: str) -> list[tuple[str | None, int, int]]:
-        """(sentence id or None, start, end) in turn, in code points; sentences may span fragments."""
+        """(sentence id or None, start, end) in turn, in code points; sentences may span fragments.
+
+        An unknown sentence goes on over line ends up to its end mark, a line without
+        words or a known sentence.
+        """
         pieces = [(normalised(m[0]), *m.span()) for m in FRAGMENT.finditer(text)]
         pieces = [p for p in pieces if p[0]]
         out, i = [], 0
@@ -115,7 +124,10 @@ class SentenceBook:
                 if j == len(pieces):
                     break
                 words, end, j = words + pieces[j][0], pieces[j][2], j + 1
-            out.append((best[0], start, best[2]))
+            if best[0] is None and out and out[-1][0] is None and continues(text, out[-1][2], start):
+                out[-1] = (None, out[-1][1], best[2])
+            else:
+                out.append((best[0], start, best[2]))
             i = best[1]
         return out
 
@@ -135,8 +147,8 @@ def match_rules(found: list[tuple[str | None, int, int]], rules=RULES, gap: int
                 continue
             hits, at = [i], place
             for name in wanted[1:]:
-                nxt = next((k for k in range(at + 1, len(known)) if known[k] - hits[-1] > gap or found[known[k]][0] == name), None)
-                if nxt is None or known[nxt] - hits[-1] > gap or known[nxt] in used:
+                nxt = next((k for k in range(at + 1, len(known)) if known[k] - hits[-1] - 1 > gap or found[known[k]][0] == name), None)
+                if nxt is None or known[nxt] - hits[-1] - 1 > gap or known[nxt] in used:
                     break
                 hits.append(known[nxt])
                 at = nxt

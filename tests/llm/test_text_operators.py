@@ -3,6 +3,7 @@
 import base64
 import json
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -275,6 +276,30 @@ def test_licences(spark):
     assert all(any(t in s.lower().encode() for t in license_scan.TRIGGERS) or n.startswith("spdx") for n, s in S.items())
 
 
+BSD_CLAUSES = (
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+)
+BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. '
+    "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DAMAGES ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+
+def test_bsd_at_any_width():
+    S, book = license_scan.SENTENCES, license_scan.SentenceBook(license_scan.SENTENCES)
+    two = ["Copyright (c) 2020, Some Body", S["bsd-grant"], *BSD_CLAUSES, BSD_END]
+    three = [*two[:-1], "3. " + S["bsd-names"], BSD_END]
+    for width in (24, 40, 60, 72, 80, 10_000):
+        for mark in ("", "# ", " * "):
+            for paragraphs, licence, n in ((two, "BSD-2-Clause", 1), (three, "BSD-3-Clause", 2)):
+                lines = [line for p in paragraphs for line in [*textwrap.wrap(p, width, break_long_words=False), ""]]
+                found = license_scan.match_rules(book.identifiers("\n".join(mark + line for line in lines)))
+                assert [(name, size) for name, size, _, _ in found] == [(licence, n)], (width, mark)
+    gap = lambda n: S["bsd-grant"] + " Unknown here." * n + " " + S["bsd-names"]
+    assert [license_scan.match_rules(book.identifiers(gap(n)))[0][0] for n in (8, 9)] == ["BSD-3-Clause", "BSD-2-Clause"]
+
+
 def brute_measures(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     runs = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
