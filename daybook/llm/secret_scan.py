@@ -5,7 +5,9 @@ Beyond them, every base64 or hexadecimal candidate is decoded and reported only
 if the bytes are what a key or token must be: a DER key whose nested lengths end
 where they should, an OpenSSH key whose length-prefixed fields fill the blob, a
 signed token whose header and claims parse and whose signature has the size its
-algorithm gives.
+algorithm gives. Keys go on over line ends, escaped line ends and joined string
+literals; an unarmoured key ends where its own lengths say. A PEM block whose
+headers say that it is encrypted cannot be parsed and is a kind of its own.
 
 Defined results: NULL and empty texts have no spans; texts of any length are read
 whole; equal rows are scanned one by one; an empty table gives no rows.
@@ -31,11 +33,23 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_WORDS = (b"passw", b"secret", b"token", b"api")
 LEAST_ASSIGNED, LEAST_ACCESS = 8, 16
-KINDS = ("assign", "access", "hex", "jwt", "pem_key", "der_key", "ssh_key")
+KINDS = ("assign", "access", "hex", "jwt", "pem_key", "der_key", "ssh_key", "pem_encrypted")
 BASE_KINDS = KINDS[:3]
 
 SIGNED_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]*)-----END \1-----")
+PEM_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----")
+#: Two string literals joined: a closing quote, an operator or the end of the line, an opening quote.
+QUOTED_JOIN = r"""(?<!\\)\\*["'`]\s*(?:[+.,&\\]\s*)?\\*["'`]"""
+#: What may stand between two base64 characters of one key.
+JOIN = re.compile(rf"""(?:\\+[nrt]|\\+(?=/)|\\*[\x20\t]*[\r\n]\s*|{QUOTED_JOIN})+""")
+ESCAPED_END = re.compile(r"\\[nrt]")
+PEM_JOIN = re.compile(QUOTED_JOIN)
+PEM_ESCAPE = re.compile(r"\\+([nrt]?)")
+PEM_HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:")
+BASE64_CHUNK = re.compile(r"[A-Za-z0-9+/_-]+")
+#: The first characters of a DER sequence, and of "openssh-key-v1" in base64.
+KEY_STARTS = (re.compile(r"M[A-P]"), re.compile(r"b3Blbn"))
+BASE64_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 TOKEN_STARTS = ("eyJ", "ewo", "eyA", "ewk")
@@ -136,6 +150,95 @@ def key_kind(data: bytes | None) -> str | None:
     return "ssh_key" if is_ssh_key(data) else "der_key" if is_der_key(data) else None
 
 
+def pem_parts(body: str) -> tuple[dict[str, str], str]:
+    """Headers and base64 text of what stands between the markers, without line ends, escapes and quotes."""
+    plain = PEM_ESCAPE.sub(lambda m: "\n" if m[1] else "", PEM_JOIN.sub("", body))
+    lines = [line.strip("\x20\t\r\"'`") for line in plain.split("\n")]
+    while lines and not lines[0]:
+        del lines[0]
+    headers: dict[str, str] = {}
+    name = ""
+    if lines and PEM_HEADER.match(lines[0]):
+        # headers, some of them continued, end at an empty line, or else at the last line with a colon
+        last = max(i for i, line in enumerate(lines) if ":" in line)
+        end = next((i for i, line in enumerate(lines) if not line and i > last), last + 1)
+        for line in lines[:end]:
+            if PEM_HEADER.match(line):
+                name, _, value = line.partition(":")
+                headers[name.lower()] = value.strip()
+            else:
+                headers[name.lower()] += line
+        lines = lines[end:]
+    return headers, "".join("".join(lines).split())
+
+
+def pem_kind(body: str) -> str | None:
+    headers, code = pem_parts(body)
+    data = decoded(code)
+    if not data:
+        return None
+    if "ENCRYPTED" in headers.get("proc-type", "").upper():
+        return "pem_encrypted" if len(data) >= 32 and len(data) % 8 == 0 else None
+    return "pem_key" if is_der_key(data) or is_ssh_key(data) else None
+
+
+def gathered(text: str, at: int, size: int) -> tuple[str, int]:
+    """Up to ``size`` base64 characters from ``at`` on, over joins, and where they end."""
+    out, have = [], 0
+    while m := BASE64_CHUNK.match(text, at, at + size - have):
+        out.append(m[0])
+        have, at = have + len(m[0]), m.end()
+        if have == size or not (join := JOIN.match(text, at)):
+            break
+        if not BASE64_CHUNK.match(text, join.end(), join.end() + 1):
+            break
+        at = join.end()
+    return "".join(out), at
+
+
+def der_size(head: bytes) -> int | None:
+    """The bytes of a DER sequence of an integer or a sequence, from its first bytes."""
+    if len(head) < 7 or head[0] != 0x30:
+        return None
+    count = head[1] & 0x7F if head[1] & 0x80 else 0
+    if count > 4 or head[1] == 0x80 or head[2 + count] not in (0x02, 0x30):
+        return None
+    return 2 + count + (int.from_bytes(head[2 : 2 + count], "big") if count else head[1])
+
+
+def ssh_size(data: bytes) -> int | None:
+    """The bytes of an OpenSSH key at the start of ``data``: three fields, a number, as many public keys, one private part."""
+    at, fields, needed = 15, 0, 4
+    while fields < needed and at + 4 <= len(data):
+        size = int.from_bytes(data[at : at + 4], "big")
+        if fields == 3 and needed == 4:  # the number of keys stands between the fields
+            if not 1 <= size <= len(data):
+                return None
+            at, needed = at + 4, 4 + size
+            continue
+        at, fields = at + 4 + size, fields + 1
+    return at if fields == needed and at <= len(data) else None
+
+
+def gathered_key(text: str, start: int) -> tuple[int, str] | None:
+    """End and kind of the key in base64 at ``start``, over any joins."""
+    if text[start] == "b":
+        code, _ = gathered(text, start, len(text))
+        data = decoded(code[: len(code) // 4 * 4]) if len(code) % 4 == 1 else decoded(code)
+        size = ssh_size(data) if data and data.startswith(b"openssh-key-v1\0") else None
+    else:
+        size = der_size(decoded(gathered(text, start, 12)[0]) or b"")
+    if not size:
+        return None
+    wanted = -(-8 * size // 6)
+    code, end = gathered(text, start, wanted)
+    if len(code) < wanted or not (kind := key_kind((decoded(code) or b"")[:size])):
+        return None
+    for _ in range(-wanted % 4):
+        end += text.startswith("=", end)
+    return end, kind
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     spans = []
     lower = text.encode().lower()
@@ -157,10 +260,10 @@ def structure_spans(text: str) -> list[tuple[int, int, str]]:
             spans.insert(at, (start, end, kind))
 
     if "PRIVATE KEY-----" in text:
-        for m in PEM.finditer(text):
-            data = decoded("".join(m[2].split()))
-            if data and (is_der_key(data) or is_ssh_key(data)):
-                add(*m.span(), "pem_key")
+        for m in PEM_BEGIN.finditer(text):
+            marker, end = f"-----END {m[1]}-----", text.find("-----", m.end())
+            if end >= 0 and text.startswith(marker, end) and (kind := pem_kind(text[m.end() : end])):
+                add(m.start(), end + len(marker), kind)
     if any(t in text for t in TOKEN_STARTS):
         for m in SIGNED_TOKEN.finditer(text):
             if m[1].startswith(TOKEN_STARTS) and is_signed_token(*m.groups()):
@@ -172,6 +275,14 @@ def structure_spans(text: str) -> list[tuple[int, int, str]]:
         for m in runs:
             if kind := key_kind(decoded(m[0])):
                 add(*m.span(), kind)
+    for pattern in KEY_STARTS:
+        reached = 0
+        for m in pattern.finditer(text):
+            start = m.start()
+            if start >= reached and (start == 0 or text[start - 1] not in BASE64_CHARACTERS or ESCAPED_END.match(text, start - 2)):
+                if key := gathered_key(text, start):
+                    reached = key[0]
+                    add(start, *key)
     return spans
 
 

@@ -200,6 +200,34 @@ def test_secrets(spark):
     assert secret_scan.scan_secrets(docs.limit(0)).collect() == []
 
 
+def test_keys_over_line_ends():
+    code = base64.b64encode(rsa_key()).decode()
+    parts = [b"none", b"none", b"", b"p" * 51, b"q" * 300]
+    fields = [len(x).to_bytes(4, "big") + x for x in parts]
+    ssh = base64.b64encode(b"openssh-key-v1\0" + b"".join(fields[:3]) + (1).to_bytes(4, "big") + b"".join(fields[3:])).decode()
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    for width in (64, 76):
+        for key, kind in ((code, "der_key"), (ssh, "ssh_key")):
+            lines = [key[i : i + width] for i in range(0, len(key), width)]
+            for join in ("\n", "\r\n    ", "\\n", "\\r\\n", "\\\\n", '" +\n  "', '\\n"\n  "', "\\n\\\n"):
+                body = join.join(lines)
+                for before, after in (("key:\n", "\nmore words here"), ('{"k": "', '"}'), ("x\\n", "\\nmore")):
+                    assert secret_scan.structure_spans(before + body + after) == [(len(before), len(before + body), kind)], (join, before)
+                whole = begin + join + body + join + end
+                assert secret_scan.structure_spans(f'{{"k": "{whole}"}}') == [(7, 7 + len(whole), "pem_key")], join
+                assert not secret_scan.structure_spans("x " + join.join(lines[:-1]) + " y")
+    lines = [code[i : i + 64] for i in range(0, len(code), 64)]
+    sealed = base64.b64encode(bytes(range(256)) * 2).decode()
+    assert secret_scan.structure_spans(code.replace("/", "\\/")) == [(0, len(code.replace("/", "\\/")), "der_key")]
+    for join in ("\n", "\\n", '\\n" +\n"'):
+        head = join.join(["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF", "", ""])
+        text = begin + join + head + join.join([sealed[:64], sealed[64:]]) + join + end
+        assert secret_scan.structure_spans(text) == [(0, len(text), "pem_encrypted")], join
+        assert secret_scan.structure_spans(text.replace("4,ENCRYPTED", "4,MIC-ONLY")) == []
+        text = begin + join + "Comment: own" + join * 2 + join.join(lines) + join + end
+        assert secret_scan.structure_spans(text) == [(0, len(text), "pem_key")], join
+
+
 def test_language(spark):
     rng = np.random.default_rng(0)
     letters = {"aa": "abcde", "bb": "cdefg", "cc": "xyzéñ"}
