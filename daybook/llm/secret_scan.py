@@ -36,7 +36,8 @@ LEAST_ASSIGNED, LEAST_ACCESS = 8, 16
 KINDS = ("assign", "access", "hex", "jwt", "pem_key", "der_key", "ssh_key", "pem_encrypted")
 BASE_KINDS = KINDS[:3]
 
-SIGNED_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
+#: A header begins with a brace and a quote or white space; tried at every segment, as segments before a token may look like one.
+SIGNED_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(?=((?:eyJ|ewo|eyA|ewk|ew0)[A-Za-z0-9_-]{5,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*))")
 PEM_BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----")
 #: Two string literals joined: a closing quote, an operator or the end of the line, an opening quote.
 QUOTED_JOIN = r"""(?<!\\)\\*["'`]\s*(?:[+.,&\\]\s*)?\\*["'`]"""
@@ -52,7 +53,7 @@ KEY_STARTS = (re.compile(r"M[A-P]"), re.compile(r"b3Blbn"))
 BASE64_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
-TOKEN_STARTS = ("eyJ", "ewo", "eyA", "ewk")
+TOKEN_STARTS = ("eyJ", "ewo", "eyA", "ewk", "ew0")
 SIGNATURE_BYTES = {"HS256": 32, "HS384": 48, "HS512": 64, "ES256": 64, "ES384": 96, "ES512": 132, "EdDSA": 64}
 
 
@@ -266,8 +267,8 @@ def structure_spans(text: str) -> list[tuple[int, int, str]]:
                 add(m.start(), end + len(marker), kind)
     if any(t in text for t in TOKEN_STARTS):
         for m in SIGNED_TOKEN.finditer(text):
-            if m[1].startswith(TOKEN_STARTS) and is_signed_token(*m.groups()):
-                add(*m.span(), "jwt")
+            if is_signed_token(*m.groups()):
+                add(m.start(1), m.end(3), "jwt")
     if runs := list(BASE64_RUN.finditer(text)):
         for m in HEX_RUN.finditer(text):
             if kind := key_kind(bytes.fromhex(m[0])):

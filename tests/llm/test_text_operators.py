@@ -228,6 +228,14 @@ def test_keys_over_line_ends():
         assert secret_scan.structure_spans(text) == [(0, len(text), "pem_key")], join
 
 
+def test_tokens_after_other_segments():
+    for token in (signed_token(), signed_token(header=b'{\r\n"alg":"HS256"}')):
+        for before in ("documentation.", "one-more-word.claims12.", "eyJub3RhdG9rZW4.", "a.b.c ", ""):
+            text = f"{before}{token} end"
+            assert secret_scan.structure_spans(text) == [(len(before), len(before + token), "jwt")]
+    assert secret_scan.structure_spans(f"x{signed_token()}") == secret_scan.structure_spans(f"documentation.{signed_token(31)}") == []
+
+
 def test_language(spark):
     rng = np.random.default_rng(0)
     letters = {"aa": "abcde", "bb": "cdefg", "cc": "xyzéñ"}
