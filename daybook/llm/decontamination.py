@@ -7,7 +7,9 @@ is read as overlapping passages of 128 words, each a query: all units above the
 threshold are retrieved. Bounds are first summed for whole passages, over the best
 posting of each term and over the best in each block; passages that may reach the
 threshold walk the postings by block-max WAND. Retrieved items are verified on the
-text: word 5-grams of the question, words of the answer.
+text: word 5-grams of the question, words of the answer. An item without a question
+is verified by the 5-grams of its answer, as a question; so is an answer of 5 words
+or more after a question of fewer. No item is found by a bag of words alone.
 
 Defined results: NULL or empty texts and items without words match nothing; equal
 rows are judged one by one; equal items are both reported; an item without an
@@ -51,6 +53,15 @@ def word_grams(words: list[str]) -> set[tuple[str, ...]]:
     return {tuple(words[i : i + GRAM_WORDS]) for i in range(max(1, len(words) - GRAM_WORDS + 1))}
 
 
+def grams_held(words: list[str], near: list[str]) -> float:
+    """The share of the grams of ``words`` that stand in ``near``; 1 for no words."""
+    grams = word_grams(words)
+    if not grams:
+        return 1.0
+    size = min(GRAM_WORDS, len(words))
+    return len(grams & {tuple(near[i : i + size]) for i in range(len(near) - size + 1)}) / len(grams)
+
+
 class Terms(dict):
     """Numbers of known words; -1 for any other."""
 
@@ -62,7 +73,8 @@ class ItemIndex:
     """Inverted index of items (id, question, answer) with postings in blocks."""
 
     def __init__(self, items: list[tuple[object, str | None, str | None]]):
-        self.items = [(i, words_of(q or ""), words_of(a or "")) for i, q, a in items]
+        both = [(i, words_of(q or ""), words_of(a or "")) for i, q, a in items]
+        self.items = [(i, q or a, a if q else []) for i, q, a in both]
         self.units: list[tuple[int, int]] = []  # item, words of the item
         texts = []
         for place, (_, question, answer) in enumerate(self.items):
@@ -199,9 +211,11 @@ class ItemIndex:
             for first, score in hits:
                 low, high = max(0, first - size), first + 2 * UNIT_WORDS + size
                 near = words[low:high]
-                grams = word_grams(question)
-                held = len(grams & {tuple(near[i : i + len(g)]) for g in [next(iter(grams), ())] for i in range(len(near) - len(g) + 1)}) / len(grams) if grams else 1.0
-                said = len(set(answer) & set(near)) / len(set(answer)) if answer else 1.0
+                held = grams_held(question, near)
+                if len(question) < GRAM_WORDS <= len(answer):
+                    said = grams_held(answer, near)
+                else:
+                    said = len(set(answer) & set(near)) / len(set(answer)) if answer else 1.0
                 if held >= question_overlap and said >= answer_overlap and (best is None or (held, said, score) > best[:3]):
                     best = (held, said, score, low, min(high, len(words)))
             if best:
@@ -210,7 +224,7 @@ class ItemIndex:
 
 
 def split_answer(text: Column) -> tuple[Column, Column]:
-    """Question and answer of an item in one text: the answer is the last sentence, if there are more."""
+    """Question and answer of an item in one text: the answer is the last sentence, without a question if it is the only one."""
     plain = F.trim(F.coalesce(text, F.lit("")))
     at = F.length(F.regexp_extract(plain, r"^(?s)(.*[.!?:]\s+)\S", 1))
     return F.substring(plain, F.lit(1), at), F.substring(plain, at + 1, F.length(plain))

@@ -136,6 +136,16 @@ def test_answer_is_the_last_sentence(spark):
     assert [tuple(r) for r in rows.select(q, a).collect()] == [("One two. ", "Three four."), ("", "Alone here"), ("", ""), ("", "")]
 
 
+def test_items_need_words_in_order():
+    question = "what is the capital of the united states of america today"
+    other = "today the states of america united what the capital of trade is"
+    index = decontamination.ItemIndex([(1, "", question), (2, None, question), (3, "Q:", question), (4, question, None)])
+    found = lambda text: sorted(m[0] for m in index.matches(text, 0.5, 0.6, 0.6))
+    assert found(f"q {other}") == found(f"some q words {other} and more") == []
+    assert found(f"q. {question}") == found(f"so Q: {question.title()}? yes") == [1, 2, 3, 4]
+    assert found(question) == [1, 2, 4]
+
+
 def glob_regex(glob):
     out = "".join({"**": ".*", "*": "[^/]*"}.get(p, re.escape(p)) for p in re.split(r"(\*\*|\*)", glob))
     return re.compile(out, re.DOTALL)
