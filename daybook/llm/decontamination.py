@@ -18,6 +18,7 @@ answer needs its question only; empty tables give no rows or match nothing.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import slices
+from .batches import slices, stored
 
 UNIT_WORDS = 64
 BLOCK_UNITS = 2
@@ -62,6 +63,19 @@ def grams_held(words: list[str], near: list[str]) -> float:
     return len(grams & {tuple(near[i : i + size]) for i in range(len(near) - size + 1)}) / len(grams)
 
 
+def units_of(words: list[str]) -> list[list[str]]:
+    return [words[start : start + UNIT_WORDS] for start in range(0, len(words), UNIT_WORDS)]
+
+
+def unit_statistics(units: list[list[str]]) -> tuple[int, int, dict[str, int]]:
+    """How many units and words there are, and how many units hold each word."""
+    frequency: dict[str, int] = defaultdict(int)
+    for unit in units:
+        for word in set(unit):
+            frequency[word] += 1
+    return len(units), sum(map(len, units)), frequency
+
+
 class Terms(dict):
     """Numbers of known words; -1 for any other."""
 
@@ -70,25 +84,26 @@ class Terms(dict):
 
 
 class ItemIndex:
-    """Inverted index of items (id, question, answer) with postings in blocks."""
+    """Inverted index of items (id, question, answer) with postings in blocks.
+
+    ``statistics`` of more items than these (units, their words, units by word) are
+    given where these are a part of a benchmark.
+    """
 
-    def __init__(self, items: list[tuple[object, str | None, str | None]]):
+    def __init__(self, items: list[tuple[object, str | None, str | None]], statistics: tuple[int, int, dict[str, int]] | None = None):
         both = [(i, words_of(q or ""), words_of(a or "")) for i, q, a in items]
         self.items = [(i, q or a, a if q else []) for i, q, a in both]
         self.units: list[tuple[int, int]] = []  # item, words of the item
         texts = []
         for place, (_, question, answer) in enumerate(self.items):
             words = question + answer
-            for start in range(0, len(words), UNIT_WORDS):
-                texts.append(words[start : start + UNIT_WORDS])
-                self.units.append((place, len(words)))
-        mean = np.mean([len(t) for t in texts]) if texts else 1.0
-        frequency: dict[str, int] = defaultdict(int)
-        for text in texts:
-            for word in set(text):
-                frequency[word] += 1
-        self.terms = Terms({word: i for i, word in enumerate(sorted(frequency))})
-        idf = {w: np.log(1 + (len(texts) - n + 0.5) / (n + 0.5)) for w, n in frequency.items()}
+            own = units_of(words)
+            texts += own
+            self.units += [(place, len(words))] * len(own)
+        n_units, n_words, frequency = statistics or unit_statistics(texts)
+        mean = n_words / n_units if n_units else 1.0
+        self.terms = Terms({word: i for i, word in enumerate(sorted({w for t in texts for w in t}))})
+        idf = {w: np.log(1 + (n_units - frequency[w] + 0.5) / (frequency[w] + 0.5)) for w in self.terms}
         lists: list[list[tuple[int, float]]] = [[] for _ in self.terms]
         for unit, text in enumerate(texts):
             counts: dict[str, int] = defaultdict(int)
@@ -144,14 +159,15 @@ class ItemIndex:
                 if place < len(where) and where[place] == unit // BLOCK_UNITS:
                     total += best[place]
             if total >= threshold - 1e-9:
-                score = 0.0
+                weights_held = []
                 for t in order[: pivot + 1]:
                     units, weights = lists[t]
                     at[t] += int(units[at[t] :].searchsorted(unit))
                     if at[t] < len(units) and units[at[t]] == unit:
-                        score += weights[at[t]]
+                        weights_held.append(weights[at[t]])
                         at[t] += 1
                     current[t] = min(end, int(units[at[t]])) if at[t] < len(units) else end
+                score = math.fsum(weights_held)  # exact, so that the order of units and terms does not matter
                 if score >= threshold - 1e-9:
                     found.append((unit, score))
             else:
@@ -238,8 +254,8 @@ def contaminated(
     """A row for each text and test item it holds: doc_id, item_id, score, overlaps, first_word and last_word of the passage.
 
     ``items`` has item_id, question and answer. The index of a pass is built from at
-    most ``index_bytes`` of items and broadcast; a larger benchmark takes more passes,
-    each with the statistics of its own items.
+    most ``index_bytes`` of items and broadcast; a larger benchmark takes more passes.
+    Each has the statistics of all items, for its own words: passes change no score.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
@@ -253,19 +269,43 @@ def contaminated(
         "question_overlap double, answer_overlap double, first_word bigint, last_word bigint"
     )
     names = ["item_id", "score", "question_overlap", "answer_overlap", "first_word", "last_word"]
+    whole = stored(_word_counts(items), "benchmark-words") if passes > 1 else None
     out = None
     for part in range(passes):
         chosen = items.where(F.pmod(F.xxhash64("question", "answer"), F.lit(passes)) == part) if passes > 1 else items
         rows = sorted((tuple(r) for r in chosen.collect()), key=str)
-        shared = spark.sparkContext.broadcast(rows)
+        statistics = None
+        if passes > 1:
+            own = _word_counts(chosen).select(F.col("word").alias("own"))
+            counts = whole.join(own, F.col("word").eqNullSafe(F.col("own")), "left_semi").collect()
+            sums = next((r for r in counts if r["word"] is None), None)
+            statistics = (sums["units"], sums["words"], {r["word"]: r["units"] for r in counts if r["word"] is not None}) if sums else None
+        shared = spark.sparkContext.broadcast((rows, statistics))
         found = texts.mapInArrow(_searcher(shared, names, threshold, question_overlap, answer_overlap), schema)
         out = found if out is None else out.unionByName(found)
     return out
 
 
+def _word_counts(items: DataFrame) -> DataFrame:
+    """word, units that hold it; the word NULL has the numbers of all units and of their words."""
+
+    def count(batches):
+        for batch in batches:
+            questions, answers = (batch.column(c).to_pylist() for c in ("question", "answer"))
+            units = [u for q, a in zip(questions, answers) for u in units_of(words_of(q or "") + words_of(a or ""))]
+            n_units, n_words, frequency = unit_statistics(units)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([None, *frequency], pa.string()), pa.array([n_units, *frequency.values()], pa.int64()), pa.array([n_words] + [0] * len(frequency), pa.int64())],
+                ["word", "units", "words"],
+            )
+
+    counted = items.select("question", "answer").mapInArrow(count, "word string, units bigint, words bigint")
+    return counted.groupBy("word").agg(F.sum("units").alias("units"), F.sum("words").alias("words"))
+
+
 def _searcher(shared, names, threshold, question_overlap, answer_overlap):
     def search(batches):
-        index = ItemIndex(shared.value)
+        index = ItemIndex(*shared.value)
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 rows, found = [], []

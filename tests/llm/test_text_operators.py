@@ -146,6 +146,19 @@ def test_items_need_words_in_order():
     assert found(question) == [1, 2, 4]
 
 
+def test_passes_change_no_score(spark):
+    rng = np.random.default_rng(9)
+    items = [(i, " ".join(f"w{k}" for k in np.minimum(rng.zipf(1.4, 40), 90)), " ".join(f"a{k}" for k in rng.integers(0, 30, 4))) for i in range(40)]
+    texts = [f"{' '.join(q.split()[:n])} {a} " + " ".join(f"n{k}" for k in range(60)) for _, q, a in items for n in (12, 18, 24, 30)]
+    docs = table(spark, texts)
+    bench = spark.createDataFrame(items, "item_id bigint, question string, answer string")
+    found = [
+        sorted(decontamination.contaminated(docs, bench, question_overlap=0.1, answer_overlap=0.1, index_bytes=size).collect())
+        for size in (decontamination.INDEX_BYTES, 2_500)
+    ]
+    assert found[0] == found[1] and any(r.score < 0.6 for r in found[0]) and len({r.doc_id for r in found[0]}) < len(texts)
+
+
 def glob_regex(glob):
     out = "".join({"**": ".*", "*": "[^/]*"}.get(p, re.escape(p)) for p in re.split(r"(\*\*|\*)", glob))
     return re.compile(out, re.DOTALL)
