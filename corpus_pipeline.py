@@ -39,9 +39,9 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their places in training sequences."""
+    """Pieces of documents with their token ids and their places in training sequences."""
     prepared(spark)
-    return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY), END_ID)
+    return packing.pack_documents(docs, public_tokenizers.path(VOCABULARY), END_ID, with_ids=True)
 
 
 STAGES = [

@@ -4,7 +4,9 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from daybook.llm import jaccard_join, repeats, substring_dedup, suffix_dedup
@@ -183,3 +185,16 @@ def test_pipeline_stages(spark):
     assert label == list(range(len(label)))  # no near copies are left
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert pieces.select("doc_id").distinct().count() == counts[4]
+
+
+def test_pipeline_gives_token_ids(spark):
+    texts = ["Ab, c. D", None, " ".join(f"w{i}" for i in range(3000)), "same text", "same text"]
+    docs = table(spark, texts)
+    rows = corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(corpus_pipeline.VOCABULARY))
+    for i, text in enumerate(texts):
+        own = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)
+        want = tokenizer.encode(text or "", add_special_tokens=False).ids + [corpus_pipeline.END_ID]
+        assert np.frombuffer(b"".join(r.ids for r in own), "<u4").tolist() == want
+        assert all(len(r.ids) == 4 * r.length for r in own)
+    assert len(rows) > len(texts)
