@@ -125,12 +125,29 @@ def delimited_export(spark, sf_dir):
     )
 
 
-@query("source_inventory")
+@query("source_inventory", X.oracle("""
+    SELECT 'trades' AS source_name, CAST(min(dt) AS VARCHAR) AS first_date, CAST(max(dt) AS VARCHAR) AS last_date,
+      count(DISTINCT dt) AS object_count, CAST(sum(octet_length(encode(raw_record)) + 1) AS BIGINT) AS total_size_bytes
+    FROM feed_messages
+    UNION ALL
+    SELECT 'notes', '2026-08-03', '2026-08-03', count(*), CAST(sum(octet_length(encode(n_name)) + 1) AS BIGINT) FROM nation
+    UNION ALL SELECT 'market_data', NULL, NULL, 0, 0 WHERE (SELECT count(*) FROM part) > 0""", variant=X.DAILY))
 def source_inventory(spark, sf_dir):
-    """Files and bytes of each feed."""
+    """Files and bytes of a flat feed of all dates, of one in folders below its date, and of one without files."""
     root = work_folder(spark, "inventory")
-    X.write_feeds(spark, sf_dir, root)
-    return readers.source_inventory(spark, {s: f"{root}/{s}/dt={DAY}" for s in S.SOURCES})
+    lines = X.messages(spark, sf_dir, X.DAILY)
+    days = [row["dt"] for row in lines.select("dt").distinct().collect()]
+    lines.repartition("dt").write.partitionBy("dt").text(f"{root}/trades")
+    notes = X.table(spark, sf_dir, "nation").select("n_name", "n_nationkey", F.lit(DAY).alias("dt"))
+    notes.write.partitionBy("dt", "n_nationkey").text(f"{root}/notes")
+    inventory = readers.dated_inventory(spark, root, [*days, DAY], ["trades", "notes", "market_data"])
+    present = F.when(F.col("object_count") > 0, F.col("run_date").cast("string"))
+    return inventory.groupBy("source_name").agg(
+        F.min(present).alias("first_date"),
+        F.max(present).alias("last_date"),
+        F.sum("object_count").alias("object_count"),
+        F.sum("total_size_bytes").alias("total_size_bytes"),
+    )
 
 
 @query("missing_sources", """

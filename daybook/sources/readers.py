@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from daybook import schemas as S
 from daybook.functions.dates import parse_run_date
 from daybook.operators.rejects import union_all_by_name
-from daybook.sources.session import file_names
+from daybook.sources.session import files_below
 
 
 def partition_paths(
@@ -134,20 +134,45 @@ def source_inventory(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     )
 
 
+def dated_inventory(
+    spark: SparkSession,
+    in_root: str,
+    run_dates: list[date | str],
+    sources: list[str] = S.SOURCES,
+) -> DataFrame:
+    """(source_name, run_date, object_count, total_size_bytes) of every feed and date asked for.
+
+    Files lie in a date's folder or anywhere below it. A feed without files on a
+    date has a row with zeros. The listing is followed page by page and only its
+    sums are held.
+    """
+    rows = []
+    for source in sources:
+        for day in sorted({parse_run_date(d) for d in run_dates}):
+            count = size = 0
+            for _, length in files_below(spark, f"{in_root}/{source}/dt={day.isoformat()}"):
+                count, size = count + 1, size + length
+            rows.append((source, day, count, size))
+    return spark.createDataFrame(
+        rows, "source_name string, run_date date, object_count bigint, total_size_bytes bigint"
+    )
+
+
 def require_source_dates(
     spark: SparkSession, in_root: str, run_dates: list[date], expected: list[str] = S.SOURCES
 ) -> None:
     """Raise with the name of every (feed, date) that has no file.
 
-    Only the given dates' folders are listed, one listing per feed; contents are
-    not read. A date with files but without rows passes, even if they are empty.
+    A file may lie in the date's folder or anywhere below it. Each folder is
+    listed up to its first file; contents are not read. A date with files but
+    without rows passes, even if they are empty.
     """
-    days = sorted({d.isoformat() for d in run_dates})
-    absent = []
-    for source in expected:
-        names = file_names(spark, f"{in_root}/{source}/dt={{{','.join(days)}}}/*")
-        present = {name.rpartition("/")[0].rpartition("dt=")[2] for name in names}
-        absent += [f"{source} {d}" for d in days if d not in present]
+    absent = [
+        f"{source} {day}"
+        for source in expected
+        for day in sorted({d.isoformat() for d in run_dates})
+        if next(files_below(spark, f"{in_root}/{source}/dt={day}"), None) is None
+    ]
     if absent:
         raise FileNotFoundError(f"No source files for: {', '.join(absent)}")
 

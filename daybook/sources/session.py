@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -50,12 +51,25 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def file_names(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths of the files that a pattern names, empty files too; hidden files are left out."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    names = [status.getPath().toString() for status in found or [] if status.isFile()]
-    return [name for name in names if not name.rpartition("/")[2].startswith(("_", "."))]
+def files_below(spark: SparkSession, folder: str) -> Iterator[tuple[str, int]]:
+    """(path, bytes) of every file below a folder, at any depth, empty files too.
+
+    The file system's own iterator is followed, which fetches a large listing page
+    by page, so taking the first file costs one page and counting holds one entry at
+    a time. Names that start with ``_`` or ``.`` are left out with all below
+    them; a folder that does not exist has no files.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return
+    top = system.getFileStatus(path).getPath().toString().rstrip("/")
+    files = system.listFiles(path, True)
+    while files.hasNext():
+        status = files.next()
+        name = status.getPath().toString()
+        if not any(part.startswith(("_", ".")) for part in name[len(top):].split("/")):
+            yield name, status.getLen()
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

@@ -207,6 +207,38 @@ def test_source_inventory(spark, tmp_path):
     readers.require_sources(inventory, ["trades"])
 
 
+def test_files_below_a_date_count_at_any_depth(spark, tmp_path):
+    """Flat and nested layouts pass; hidden files, empty folders and absent dates do not."""
+    root = str(tmp_path)
+    put(f"{root}/trades/dt={DAY}/a", "12345")
+    put(f"{root}/trades/dt={DAY}/b", "")
+    put(f"{root}/market_data/dt={DAY}/file=x/more/a", "123")
+    put(f"{root}/portfolio/dt={DAY}/_temporary/a", "1")
+    put(f"{root}/portfolio/dt={DAY}/.a.crc", "1")
+    os.makedirs(f"{root}/portfolio/dt={NEXT}/file=x")
+    put(f"{root}/portfolio/_old/dt={NEXT}/a", "1")
+    rows = readers.dated_inventory(spark, root, [DAY, NEXT]).collect()
+    assert {tuple(r) for r in rows} == {
+        ("trades", DAY, 2, 5), ("trades", NEXT, 0, 0), ("market_data", DAY, 1, 3), ("market_data", NEXT, 0, 0),
+        ("portfolio", DAY, 0, 0), ("portfolio", NEXT, 0, 0)}
+    with pytest.raises(FileNotFoundError, match=f"for: portfolio {DAY}$"):
+        readers.require_source_dates(spark, root, [DAY])
+    readers.require_source_dates(spark, root, [DAY], ["trades", "market_data"])
+
+
+def test_pipeline_takes_nested_files(spark, root):
+    flat = run(spark, root, [DAY, NEXT], max_reject_rate=0.5)
+    for day in (DAY, NEXT):
+        for feed in S.SOURCES:
+            folder = f"{root}/in/{feed}/dt={day}"
+            for name in os.listdir(folder):
+                os.makedirs(f"{root}/deep/{feed}/dt={day}/file={name}")
+                with open(f"{folder}/{name}", encoding="utf-8") as handle:
+                    put(f"{root}/deep/{feed}/dt={day}/file={name}/{name}", handle.read())
+    metrics = pipeline.run_pipeline(spark, f"{root}/deep", f"{root}/out2", [DAY, NEXT], max_reject_rate=0.5)
+    assert {r["run_date"]: r for r in metrics.collect()} == flat
+
+
 def test_manifest(spark, tmp_path):
     put(f"{tmp_path}/manifest.json", json.dumps({"run_date": "2026-08-03", "expected_metrics": {"total_trades": 5}}, indent=2))
     assert [tuple(r) for r in readers.read_manifest(spark, f"{tmp_path}/manifest.json").collect()] == [(DAY, "total_trades", 5)]
