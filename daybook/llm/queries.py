@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, language_id, license_scan, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, url_filter
+from . import decontamination, filter_audit, jaccard_join, language_id, license_scan, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, url_filter
 from .registry import query, table
 
 #: The rules of the URL query.
@@ -216,3 +216,42 @@ JOIN (SELECT c.root, min(t.doc_id) AS component_id FROM c JOIN d t ON t.r = c.r
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of every document under links of 5-word Jaccard similarity 0.8."""
     return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE p AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS o UNION ALL
+  SELECT o || c FROM p, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c) WHERE NOT contains(o, c)
+), l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+d AS (
+  SELECT doc_id, coalesce(source, '') AS part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), FALSE) AS copy
+  FROM (SELECT *, coalesce(text, '') AS t FROM documents)
+), f AS (
+  SELECT part, concat(CASE WHEN len(w) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+    CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) THEN 'C' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN copy THEN 'E' END) AS f,
+    coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic
+  FROM d LEFT JOIN l USING (doc_id)
+), g AS (SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, f),
+s AS (
+  SELECT g.*, o, step, substr(o, step, 1) AS x, contains(f, substr(o, step, 1)) AS fails,
+    step > 1 AND len(list_filter(string_split(left(o, step - 1), ''), lambda c: contains(f, c))) > 0 AS gone
+  FROM g, (SELECT o FROM p WHERE length(o) = 5), (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS step)
+), r AS (
+  SELECT part, o AS filter_order, step, x,
+    CAST(coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (fails AND NOT gone), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (fails AND gone), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (f = x), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (fails AND NOT gone), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (fails AND NOT gone), 0) AS BIGINT) AS toxic_lost
+  FROM s GROUP BY part, o, step, x
+)
+SELECT * EXCLUDE (x), CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM r"""
+
+
+@query("op12_filter_audit", OP12_SQL)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes in each of their 120 orders, by source."""
+    return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
