@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, filter_audit, jaccard_join, language_id, license_scan, packing, quality_rules, secret_scan, substring_dedup, suffix_dedup, url_filter
+from . import decontamination, filter_audit, jaccard_join, language_id, license_scan, packing, periodic_runs, quality_rules, secret_scan, substring_dedup, suffix_dedup, url_filter
 from .registry import query, table
 
 #: The rules of the URL query.
@@ -255,3 +255,36 @@ SELECT * EXCLUDE (x), CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) A
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each of five filters removes in each of their 120 orders, by source."""
     return filter_audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, by hash of the id, with a stretch of words repeated to their end."""
+    words = quality_rules.split_words(F.col("text"))
+    n = F.size(words)
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    rows = docs.select("doc_id", "text", h.alias("h"), g.alias("g"))
+    a = F.pmod(F.col("g"), F.greatest(n, F.lit(1))).cast("int")
+    p = (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    planted = F.array_join(F.concat(F.slice(words, 1, a), F.slice(again, 1, n - a)), " ")
+    return rows.select("doc_id", F.when((F.col("h") % 10 == 0) & (n > 0), planted).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every document, planted ones among them, and what is left without their repeats."""
+    found = periodic_runs.collapse_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    first = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    length, period = first["length"], -first["period"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-first["start"]).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
