@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, filter_audit, jaccard_join, language_id, license_scan, packing, periodic_runs, quality_rules, secret_scan, substring_dedup, suffix_dedup, url_filter
+from daybook.sources.session import work_folder
+
+from . import decontamination, filter_audit, jaccard_join, language_id, license_scan, packing, periodic_runs, quality_rules, secret_scan, substring_dedup, suffix_dedup, url_filter, warc
 from .registry import query, table
 
 #: The rules of the URL query.
@@ -218,6 +220,31 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
 
 
+OP11_SQL = r"""
+WITH p AS (
+  SELECT page_id, h, octet_length(encode(h)) AS n, sha1(encode(h)) AS x, max(page_id) OVER (PARTITION BY h) AS last
+  FROM (SELECT page_id, coalesce(html, '') AS h FROM pages)
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST((CAST('0x' || substr(x, 1 + 10 * (i // 8), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id < last THEN last END AS refers_to
+FROM p"""
+
+
+@query("op11_warc", OP11_SQL)
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as its record in the archives, read back by the index."""
+    index = warc.archive_pages(table(spark, sf_dir, "pages"), work_folder(spark, "warc"), "2026-01-01T00:00:00Z")
+    return warc.read_records(index).select(
+        warc.page_of(F.col("record_id")).cast("bigint").alias("page_id"),
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        "record_type",
+        warc.page_of(F.col("refers_to")).cast("bigint").alias("refers_to"),
+    )
+
+
 OP12_SQL = r"""
 WITH RECURSIVE p AS (
   SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS o UNION ALL
