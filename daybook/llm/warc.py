@@ -42,6 +42,8 @@ ARCHIVE_BYTES = 1_000_000_000
 #: A record read on the way to the next one costs less than a read of its own.
 GAP_BYTES = 64_000
 RANGE_BYTES = 4_000_000
+#: Stored bytes of the records that one task reads.
+TASK_BYTES = 32_000_000
 CHUNK_BYTES = 1_000_000
 
 RESPONSE, REVISIT = "response", "revisit"
@@ -310,7 +312,8 @@ def read_records(index: DataFrame, gap: int = GAP_BYTES, most: int = RANGE_BYTES
             handle.close()
 
     chosen = index.select("archive", "offset", "length")
-    return chosen.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset").mapInArrow(read, RECORD)
+    tasks = (chosen.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES + 1
+    return chosen.repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset").mapInArrow(read, RECORD)
 
 
 def members(stream) -> Iterator[tuple[int, int, bytes]]:
