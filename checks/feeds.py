@@ -196,7 +196,7 @@ def messages(spark: SparkSession, sf_dir: str, variant: str = FIXED) -> DataFram
     return feed(spark, sf_dir, "feed_messages", variant).select("raw_record", "dt")
 
 
-_CSV_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def market_columns(
@@ -213,8 +213,8 @@ def market(
 ) -> DataFrame:
     """Price rows after a trip through CSV lines, with dt."""
     columns = market_columns(spark, sf_dir, variant, portfolio_prices)
-    line = F.to_csv(F.struct(*S.MARKET_FEED.names), _CSV_SPACES)
-    row = F.from_csv(line, S.MARKET_FEED.simpleString()[len("struct<"):-1].replace(":", " "), _CSV_SPACES)
+    line = F.to_csv(F.struct(*S.MARKET_FEED.names), CSV_SPACES)
+    row = F.from_csv(line, S.MARKET_FEED.simpleString()[len("struct<"):-1].replace(":", " "), CSV_SPACES)
     return columns.select(row.alias("row"), "dt").select("row.*", "dt")
 
 
@@ -279,7 +279,7 @@ def write_messages(spark, sf_dir, root, variant=FIXED) -> None:
 
 def write_market(spark, sf_dir, root, variant=FIXED) -> None:
     rows = market_columns(spark, sf_dir, variant)
-    rows.write.options(header=True, **_CSV_SPACES).partitionBy("dt").csv(root)
+    rows.write.options(header=True, **CSV_SPACES).partitionBy("dt").csv(root)
 
 
 def write_documents(spark, sf_dir, root, variant=FIXED) -> None:

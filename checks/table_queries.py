@@ -15,13 +15,13 @@ from checks.oracles import expect, expect_daily
 from checks.registry import query
 from daybook import schemas as S
 from daybook.operators import contracts as C
+from daybook.operators.identity import with_content_ids
 from daybook.operators.metrics import build_metrics
 from daybook.operators.portfolio import process_portfolios
 from daybook.operators.rejects import union_all_by_name
 from daybook.operators.trades import trade_pnl, unresolvable_trades
 from daybook.plans import models as M
 from daybook.plans import monitoring as V
-from daybook.sources.warehouse import with_serial_id
 
 AS_OF = datetime(2026, 8, 5, 12, 0, 0)
 
@@ -39,7 +39,7 @@ def portfolio_table(spark, sf_dir):
 
 
 def rejected_records(spark, sf_dir, variant=X.DAILY):
-    rejected = with_serial_id(all_rejects(spark, sf_dir, variant), "rejection_id", 1)
+    rejected = with_content_ids(all_rejects(spark, sf_dir, variant), "rejection_id", ("rejected_at",))
     return rejected.withColumn("loaded_at", F.col("rejected_at") + F.expr("INTERVAL 1 HOUR"))
 
 
@@ -49,7 +49,7 @@ def tables(spark, sf_dir):
     frames = {
         "processed_trades": clean,
         "portfolio_pnl": portfolio,
-        "rejected_records": with_serial_id(rejected, "rejection_id", 1),
+        "rejected_records": with_content_ids(rejected, "rejection_id", ("rejected_at",)),
         "unresolvable_pnl": unresolvable_trades(clean).select(*S.TABLES["unresolvable_pnl"].columns),
     }
     return {name: df.withColumn("loaded_at", F.lit(AS_OF)) for name, df in frames.items()}
@@ -253,23 +253,6 @@ def rows_on_date(spark, sf_dir):
     return V.on_run_date(processed_trades(spark, sf_dir), "trade_date", first).drop("loaded_at")
 
 
-@query("rerun_stability", expect("""
-    SELECT coalesce(a.side, b.side) AS table_name, a.n AS rows_before, b.n AS rows_after,
-      a.n IS DISTINCT FROM b.n AS changed
-    FROM (SELECT side, count(*) AS n FROM clean_trades GROUP BY 1) a
-    FULL JOIN (SELECT side, count(*) AS n FROM clean_trades WHERE side = 'BUY' OR NOT pnl_unresolvable GROUP BY 1) b
-      ON a.side = b.side"""))
-def rerun_stability(spark, sf_dir):
-    """Counts per side before and after unresolvable sells are taken out."""
-    trades_table = processed_trades(spark, sf_dir, X.FIXED)
-    kept = trades_table.where("side = 'BUY' OR NOT pnl_unresolvable")
-
-    def counts(df):
-        return df.groupBy(F.col("side").alias("table_name")).agg(F.count("*").alias("row_count"))
-
-    return V.changed_row_counts(counts(trades_table), counts(kept))
-
-
 @query("metrics_reconciliation", expect("""
     SELECT metric, n AS expected, n AS actual, TRUE AS ok FROM (
       SELECT 'clean_trade_count' AS metric, count(*) AS n FROM clean_trades

@@ -56,8 +56,7 @@ def main(args: list[str] | None = None) -> None:
         metrics = pipeline.run_pipeline(spark, options.in_root, options.out_root, options.run_date)
         metrics.show(truncate=False, vertical=True)
     elif options.job == "load":
-        for day in options.run_date:
-            pipeline.load_warehouse(spark, options.out_root, options.warehouse, day, options.run_id)
+        pipeline.load_warehouse(spark, options.out_root, options.warehouse, options.run_date, options.run_id)
     else:
         checks = pipeline.build_models(spark, options.warehouse)
         failed = checks.where("status <> 'pass'").collect()

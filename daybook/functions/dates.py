@@ -22,6 +22,12 @@ def parse_run_date(value: date | str) -> date:
         raise ValueError(f"Run date {value!r} is not a YYYY-MM-DD date.") from error
 
 
+def parse_run_dates(values: list[date | str] | date | str) -> list[date]:
+    """One run date or many, in order and each once."""
+    many = values if isinstance(values, (list, tuple, set)) else [values]
+    return sorted({parse_run_date(v) for v in many})
+
+
 def resolve_run_date(configured: str | None, logical_date: date) -> date:
     """The configured run date where one is given, else the logical date."""
     return parse_run_date(configured or logical_date)

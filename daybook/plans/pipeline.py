@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook import schemas as S
-from daybook.functions.dates import parse_run_date
+from daybook.functions.dates import parse_run_date, parse_run_dates
 from daybook.functions.rules import valid_rows
 from daybook.operators.contracts import check_models, check_table
 from daybook.operators.gate import MAX_REJECT_RATE, MAX_UNRESOLVABLE, quality_gate, require_passed
@@ -42,6 +42,7 @@ from daybook.sources.readers import (
     require_source_dates,
 )
 from daybook.sources.session import remove_folder, work_folder
+from daybook.sources.snapshots import Reload
 from daybook.sources.writers import write_metrics, write_partitions
 
 
@@ -157,30 +158,30 @@ def load_warehouse(
     spark: SparkSession,
     out_root: str,
     warehouse: str,
-    run_date: date | str,
+    run_dates: list[date | str] | date | str,
     run_id: str,
     max_reject_rate: float = MAX_REJECT_RATE,
     max_unresolvable: int = MAX_UNRESOLVABLE,
-) -> dict[str, wh.Reload]:
-    """Judge the date's metrics; if they pass, reload its four tables."""
-    metrics = read_metrics(spark, f"{out_root}/metrics", [run_date])
+) -> dict[str, dict[date, Reload]]:
+    """Judge the metrics of one or many dates; if all pass, reload the four tables, each by one commit."""
+    days = parse_run_dates(run_dates)
+    metrics = read_metrics(spark, f"{out_root}/metrics", days)
     require_passed(quality_gate(metrics, max_reject_rate, max_unresolvable, strict=True))
     wh.create_tables(spark, warehouse)
     loaded = {
-        name: wh.load_table(spark, out_root, warehouse, name, run_date, run_id)
-        for name in S.TABLES
+        name: wh.load_table(spark, out_root, warehouse, name, days, run_id) for name in S.TABLES
     }
-    absent = wh.missing_loads(wh.read_load_log(spark, warehouse), run_date, run_id).collect()
+    absent = wh.missing_loads(wh.read_load_log(spark, warehouse), days, run_id).collect()
     if absent:
-        names = ", ".join(sorted(row["target_table"] for row in absent))
+        names = ", ".join(sorted(f"{r['target_table']} {r['run_date']}" for r in absent))
         raise RuntimeError(f"Warehouse loads are missing: {names}")
     return loaded
 
 
-def build_models(spark: SparkSession, warehouse: str) -> DataFrame:
-    """Register staging views, write the marts, return the column tests' results."""
+def build_models(spark: SparkSession, warehouse: str, rebuild: bool = False) -> DataFrame:
+    """Register staging views, bring the marts up to date, return the column tests' results."""
     catalog.register_staging(spark, warehouse)
-    catalog.build_marts(spark, warehouse)
+    catalog.build_marts(spark, warehouse, rebuild)
     return check_models({name: catalog.ref(spark, name) for name in [*STAGING, *MARTS]})
 
 

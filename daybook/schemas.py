@@ -112,6 +112,7 @@ class TableContract:
     primary_key: list[str]
     max_lengths: dict[str, int] = field(default_factory=dict)
     serial_column: str | None = None
+    processing_stamps: tuple[str, ...] = ()
 
     @property
     def table_columns(self) -> list[str]:
@@ -216,6 +217,7 @@ TABLES = {
             primary_key=["rejection_id"],
             max_lengths={"source_name": 50, "record_identifier": 255, "rejection_rule": 100},
             serial_column="rejection_id",
+            processing_stamps=("rejected_at",),
         ),
         TableContract(
             name="unresolvable_pnl",

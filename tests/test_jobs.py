@@ -109,27 +109,34 @@ def test_warehouse_models_and_views(spark, root):
     out, warehouse = f"{root}/out", f"{root}/wh"
     with pytest.raises(QualityGateFailed, match="2026-08-03"):
         pipeline.load_warehouse(spark, out, warehouse, DAY, "r0")
+    with pytest.raises(QualityGateFailed, match="2026-08-03"):
+        pipeline.load_warehouse(spark, out, warehouse, [DAY, NEXT], "r0")
     assert not os.path.exists(warehouse)
     loaded = pipeline.load_warehouse(spark, out, warehouse, DAY, "r1", max_reject_rate=0.5)
-    assert loaded["processed_trades"] == wh.Reload(rows_deleted=0, rows_inserted=3)
+    assert loaded["processed_trades"] == {DAY: wh.Reload(rows_deleted=0, rows_inserted=3)}
     pipeline.load_warehouse(spark, out, warehouse, NEXT, "r2")
     before = V.table_row_counts(wh.read_tables(spark, warehouse))
     counts = before.collect()
-    again = pipeline.load_warehouse(spark, out, warehouse, DAY, "r3", max_reject_rate=0.5)
-    assert again["processed_trades"] == wh.Reload(rows_deleted=3, rows_inserted=3)
+    ids = wh.read_table(spark, warehouse, "rejected_records").select("rejection_id")
+    first_ids = {r[0] for r in ids.collect()}
+    again = pipeline.load_warehouse(spark, out, warehouse, [DAY, NEXT], "r3", max_reject_rate=0.5)
+    assert again["processed_trades"] == {DAY: wh.Reload(3, 3), NEXT: wh.Reload(1, 1)}
+    assert wh.table_snapshot(spark, warehouse, "processed_trades").number == 3
     assert V.table_row_counts(wh.read_tables(spark, warehouse)).collect() == counts
     log = wh.read_load_log(spark, warehouse)
-    assert log.count() == 12 and log.select("load_id").distinct().count() == 12
+    assert log.count() == 16 and log.select("load_id").distinct().count() == 16
+    newest = {r["airflow_run_id"] for r in log.orderBy(F.desc("load_id")).limit(8).collect()}
+    assert newest == {"r3"}
     ids = wh.read_table(spark, warehouse, "rejected_records").select("rejection_id")
-    assert ids.count() == ids.distinct().count() == 10
+    assert ids.count() == ids.distinct().count() == 10 and {r[0] for r in ids.collect()} == first_ids
 
     checks = pipeline.build_models(spark, warehouse).collect()
     assert len(checks) == 23 and {c["status"] for c in checks} == {"pass"}
     assert {c["status"] for c in pipeline.contract_report(spark, warehouse).collect()} == {"pass"}
-    assert [tuple(r) for r in catalog.list_models(spark).collect()] == [
-        ("marts", "fct_daily_data_quality"), ("marts", "fct_daily_trading_pnl"),
-        ("marts", "fct_portfolio_risk"), ("staging", "stg_portfolio_pnl"),
-        ("staging", "stg_processed_trades"), ("staging", "stg_rejected_records")]
+    assert [tuple(r) for r in catalog.list_models(spark, warehouse).collect()] == [
+        ("marts", "fct_daily_data_quality", 10), ("marts", "fct_daily_trading_pnl", 3),
+        ("marts", "fct_portfolio_risk", 2), ("staging", "stg_portfolio_pnl", 2),
+        ("staging", "stg_processed_trades", 4), ("staging", "stg_rejected_records", 10)]
     assert catalog.ref(spark, "fct_daily_trading_pnl").agg(F.sum("trade_count")).first()[0] == 4
     views = pipeline.monitoring_views(spark, warehouse)
     assert len(views) == 7
@@ -150,8 +157,9 @@ def test_failed_load_is_logged_and_keeps_the_table(spark, root):
     failed = wh.read_load_log(spark, warehouse).where("load_status = 'FAILED'").first()
     assert failed["rows_inserted"] == 0 and "PATH_NOT_FOUND" in failed["error_message"]
     assert len(failed["error_message"]) <= 5000
-    absent = [r[0] for r in wh.missing_loads(wh.read_load_log(spark, warehouse), DAY, "r1").collect()]
-    assert sorted(absent) == ["raw.portfolio_pnl", "raw.rejected_records", "raw.unresolvable_pnl"]
+    absent = wh.missing_loads(wh.read_load_log(spark, warehouse), [DAY, NEXT], "r1").collect()
+    assert sorted(map(tuple, absent)) == sorted(
+        (f"raw.{t}", d) for t in S.TABLES for d in (DAY, NEXT) if (t, d) != ("processed_trades", DAY))
     with pytest.raises(ValueError, match="Unknown warehouse table"):
         wh.load_table(spark, f"{root}/out", warehouse, "nothing", DAY, "r")
 
