@@ -8,17 +8,21 @@ are rounded down, what they leave is filled first-fit by decreasing length, and
 the plan is applied to the ranked rests of each class.
 
 Defined results: NULL text is an empty document (one id, the end marker); equal
-rows are packed one by one; an empty table gives no rows; no column but the id
-and the text is read, so other columns may have any name.
+rows are packed one by one, ties of length in order of id and start; texts of any length are
+cut whole; an empty table gives no rows; no column but the id and the text is read,
+so other columns may have any name. A vocabulary file that does not treat words alone
+is applied to whole texts, with the same ids and more time.
 """
 
 from __future__ import annotations
 
-import re
+import json
+import os
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,66 +31,145 @@ from .batches import slices, stored
 SEQUENCE_TOKENS = 2048
 CLASS_TOKENS = 8
 TOLERANCE = 0.004
-#: Words held by a worker process, about 170 bytes each.
-WORDS_KEPT = 400_000
+#: Words held by a worker process in each of two generations, about 170 bytes each.
+WORDS_KEPT = 600_000
+#: New words encoded together.
+WORDS_AT_ONCE = 5_000
 #: Bytes of text split into words at once.
-SPLIT_BYTES = 1_000_000
+SPLIT_BYTES = 4_000_000
 RANK_BUCKET_ROWS = 20_000
 
-#: A letter, and the mark that ends its word.
-MARK = re.compile(rb"([a-z])([.,])(?=[\x20\x09-\x0D]|\Z)")
+#: A letter, the mark that ends its word, and the end.
+MARK = r"([a-z])([.,])([\x20\x09-\x0D]|\z)"
 
-_encoders: dict[str, "WordEncoder"] = {}
+# Parts of a tokenizer file under which a text's ids are those of its lower-case words.
+WORD_NORMALIZER = ["NFC", "Replace", "Lowercase"]
+WORD_SPACES = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+_encoders: dict[str, "TextEncoder"] = {}
 
-class WordEncoder(dict):
-    """Ids of words as little-endian 32-bit bytes, encoded once each.
 
-    The vocabulary's pre-tokenizer always splits at white space and drops it, so
-    the ids of a text are the ids of its words in turn. It also lower-cases, and
-    parts a letter from the full stop or comma that ends a word; so words are held
-    in lower case and without that mark. Texts that spell a special token, which is
-    matched as written, are encoded whole.
+def by_words(settings: dict) -> bool:
+    """Whether a tokenizer file lower-cases, splits at white space and between letters and marks, and no more.
+
+    Then the ids of a text are the ids of its words in turn, a word's case is
+    of no account, and a full stop or comma at its end has an id of its own.
     """
+    normalizers = (settings.get("normalizer") or {}).get("normalizers", [])
+    splits = (settings.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return (
+        [n.get("type") for n in normalizers] == WORD_NORMALIZER
+        and normalizers[1] == WORD_SPACES
+        and [p.get("type") for p in splits] == ["Split", "ByteLevel"]
+        and splits[0].get("pattern") == {"Regex": WORD_PATTERN}
+        and splits[0].get("behavior") == "Removed" and splits[0].get("invert") is True
+        and not splits[1].get("add_prefix_space") and not splits[1].get("use_regex")
+        and settings["model"].get("dropout") is None
+    )
+
+
+class TextEncoder:
+    """Ids of whole texts as little-endian 32-bit bytes, whatever the vocabulary file asks for."""
 
     def __init__(self, path: str):
+        # Threads of the tokenizer would compete with the other tasks of the executor.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.learn({b".", b","})
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > WORDS_KEPT:
-            self.clear()
-            new = list(words | {b".", b","})
-        for start in range(0, len(new), 5000):
-            part = new[start : start + 5000]
-            self.update(zip(part, self.encoded([w.decode() for w in part])))
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        lower = [t.lower() for t in texts]
-        whole = {i for i, t in enumerate(lower) if any(s in t for s in self.special)}
-        words = [[] if i in whole else MARK.sub(rb"\1 \2", t).split() for i, t in enumerate(lower)]
-        self.learn(set().union(*words))
-        out = [b"".join(map(self.__getitem__, w)) for w in words]
+        return self.encoded([t.decode() for t in texts])
+
+
+class WordEncoder(TextEncoder):
+    """The same ids for files that ``by_words`` accepts, from words encoded once each.
+
+    Words are held in lower case and without the mark at their end, in two
+    generations: when the newer is full it becomes the older, and words met again
+    move to the newer, so that frequent words stay. New words are encoded many at
+    once with a special token between them, where their ids are cut apart. Texts that spell
+    a special token, which is matched as written, are encoded whole.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        special = [(i, t) for i, t in self.tokenizer.get_added_tokens_decoder().items()]
+        self.special = [t.content.encode().lower() for _, t in special]
+        self.between = next(((i, t.content) for i, t in special if t.special and not t.normalized and not t.lstrip and not t.rstrip), None)
+        self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def learn(self, words: set[bytes]) -> None:
+        """Hold the ids of all ``words`` in the newer generation."""
+        absent = words.difference(self.words)
+        if len(self.words) + len(absent) > WORDS_KEPT:
+            self.older, self.words = self.words, {}
+            absent = words
+        older = self.older.get
+        known = {w: ids for w in absent if (ids := older(w)) is not None}
+        self.words.update(known)
+        new = [w for w in absent if w not in known]
+        for start in range(0, len(new), WORDS_AT_ONCE):
+            part = new[start : start + WORDS_AT_ONCE]
+            self.words.update(zip(part, self.encoded_apart([w.decode() for w in part])))
+
+    def encoded_apart(self, words: list[str]) -> list[bytes]:
+        if self.between is None:
+            return self.encoded(words)
+        number, text = self.between
+        ids = np.asarray(self.tokenizer.encode_batch_fast([text.join(words)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(ids == number)
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *(4 * (cuts + 1)).tolist()], [*(4 * cuts).tolist(), len(data)])]
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        whole = [i for i, t in enumerate(texts) if any(s in t.lower() for s in self.special)]
+        plain = list(texts)
+        for i in whole:
+            plain[i] = b""
+        lower = pc.ascii_lower(pa.array(plain, pa.large_binary()).view(pa.large_string())).view(pa.large_binary())
+        parts = pc.ascii_split_whitespace(pc.replace_substring_regex(lower, MARK, r"\1 \2\3").view(pa.large_string()))
+        bounds = parts.offsets.to_numpy()
+        numbered = parts.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
+        bounds = bounds - bounds[0]
+        different = numbered.dictionary.view(pa.large_binary()).to_pylist()
+        word = numbered.indices.to_numpy()
+        self.learn(set(different))
+        held = list(map(self.words.__getitem__, different))
+        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        data = np.frombuffer(b"".join(held), "<u4")
+        size = sizes[word]
+        ends = np.concatenate(([0], np.cumsum(size)))
+        first = (np.cumsum(sizes) - sizes)[word]
+        every = data[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])]
+        cuts = ends[bounds].tolist()
+        out = [every[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
         for i in whole:
             out[i] = self.encoded([texts[i].decode()])[0]
         return out
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str) -> TextEncoder:
     """One encoder for each worker process and vocabulary file."""
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        with open(path, encoding="utf-8") as file:
+            words = by_words(json.load(file))
+        _encoders[path] = WordEncoder(path) if words else TextEncoder(path)
     return _encoders[path]
 
 
+def id_type(vocabulary: str) -> str:
+    """The least of 16 and 32 bits that holds every id of a vocabulary file, as a little-endian type."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if Tokenizer.from_file(vocabulary).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+
+
 def token_pieces(
     docs: DataFrame, vocabulary: str, end_id: int, size: int = SEQUENCE_TOKENS,
     id_column: str = "doc_id", text_column: str = "text", with_ids: bool = False,
@@ -94,11 +177,13 @@ def token_pieces(
     """Tokenize whole texts and cut them: a row for each piece of at most ``size`` ids.
 
     Columns: doc_id, start, length, ids_crc32, doc_tokens, and with ``with_ids``
-    the ids as little-endian 32-bit bytes.
+    the ids as little-endian bytes, two for each id where all ids of the
+    vocabulary fit that, else four (``id_type``). The checksum is of four bytes an id either way.
     """
     kind = docs.schema[id_column].dataType
     names = ["start", "length", "ids_crc32", "doc_tokens"]
     schema = f"doc_id {kind.simpleString()}, " + ", ".join(f"{n} bigint" for n in names) + ", ids binary" * with_ids
+    width = id_type(vocabulary) if with_ids and int(end_id) < 1 << 16 else "<u4"
 
     def cut(batches):
         end = int(end_id).to_bytes(4, "little")
@@ -113,7 +198,7 @@ def token_pieces(
                         rows.append(i)
                         columns.append((at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4))
                         if with_ids:
-                            pieces.append(piece)
+                            pieces.append(np.frombuffer(piece, "<u4").astype(width).tobytes())
                 arrays = [part.column("doc_id").take(pa.array(rows, pa.int64()))]
                 arrays += [pa.array(c, pa.int64()) for c in np.asarray(columns, np.int64).reshape(-1, 4).T]
                 if with_ids:
@@ -285,5 +370,14 @@ def pack(pieces: DataFrame, size: int = SEQUENCE_TOKENS, width: int = CLASS_TOKE
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, size: int = SEQUENCE_TOKENS, **columns) -> DataFrame:
-    """Tokenize, cut and pack whole documents. The pieces are stored once and read for the counts, ranks and rows."""
-    return pack(stored(token_pieces(docs, vocabulary, end_id, size, **columns), "pieces"), size)
+    """Tokenize, cut and pack whole documents. The pieces are stored once and read for the counts, ranks and rows.
+
+    Ids, where asked for, stay out of counting and ranking: pieces get a number when they are
+    stored, and the placed numbers meet the stored ids in one join.
+    """
+    pieces = token_pieces(docs, vocabulary, end_id, size, **columns)
+    if "ids" not in pieces.columns:
+        return pack(stored(pieces, "pieces"), size)
+    pieces = stored(pieces.withColumn("piece", F.monotonically_increasing_id()), "pieces")
+    placed = pack(pieces.drop("ids"), size)
+    return placed.join(pieces.select("piece", "ids"), "piece").drop("piece")
