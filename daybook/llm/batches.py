@@ -15,6 +15,14 @@ SLICE_BYTES = 4_000_000
 KNOWN_WORDS = 300_000
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Parts of a batch holding about ``size`` bytes of ``column``, with those bytes per row.
 
@@ -78,7 +86,9 @@ def minimizers(order: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, n
     """Places of the leftmost least value of each run of ``width`` values.
 
     Returns (place, first run, last run) for each place; every run belongs to one
-    place, and runs with the same values pick the same place in them.
+    place, and runs with the same values pick the same place in them. Places are
+    picked by the upper bits first; where these hide a smaller value, all are
+    picked again by whole values.
     """
     n = len(order)
     if n < width:
@@ -92,8 +102,20 @@ def minimizers(order: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, n
     behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
     runs = n - width + 1
     place = (np.minimum(behind[:runs], ahead[width - 1 : width - 1 + runs]) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    chosen, first, last = _by_place(place)
+    ends = np.append(order, np.iinfo(np.uint64).max)
+    least = np.minimum.reduceat(ends, np.column_stack((first, last + width)).ravel())[::2]
+    if (least != order[chosen]).any():
+        every = np.lib.stride_tricks.sliding_window_view(order, width)
+        step = max(1, 10_000_000 // width)
+        place = np.concatenate([every[a : a + step].argmin(axis=1) + np.arange(a, min(a + step, runs)) for a in range(0, runs, step)])
+        chosen, first, last = _by_place(place)
+    return chosen, first, last
+
+
+def _by_place(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.concatenate(([0], np.flatnonzero(np.diff(place)) + 1))
-    return place[first], first, np.concatenate((first[1:], [runs])) - 1
+    return place[first], first, np.concatenate((first[1:], [len(place)])) - 1
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -13,8 +13,10 @@ Equal texts are worked on once; every run of a text that occurs twice is repeate
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -45,12 +47,12 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-def anchors(symbols: Symbols, text: bytes) -> tuple[object, np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of a text, hashes of its anchors, and the first and last run of each."""
+def anchors(symbols: Symbols, text: bytes) -> tuple[object, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of a text, places and hashes of its anchors, and the first and last run of each."""
     parts = symbols.split(text)
     grams = windows(symbols.hashes(parts), symbols.gram)
     place, first, last = minimizers(grams, symbols.run - symbols.gram + 1)
-    return parts, grams[place], first, last
+    return parts, place, grams[place], first, last
 
 
 def anchor_rows(texts: DataFrame, symbols: Symbols) -> DataFrame:
@@ -66,7 +68,7 @@ def anchor_rows(texts: DataFrame, symbols: Symbols) -> DataFrame:
                     if key in seen:
                         continue
                     seen.add(key)
-                    _, hashes, first, _ = anchors(symbols, text)
+                    _, _, hashes, first, _ = anchors(symbols, text)
                     found.append(hashes)
                     firsts.append(first)
                     owners += [key] * len(hashes)
@@ -79,25 +81,29 @@ def anchor_rows(texts: DataFrame, symbols: Symbols) -> DataFrame:
 
 
 def context_rows(texts: DataFrame, symbols: Symbols) -> DataFrame:
-    """(anchor, context, key, first) for the texts (key, text, firsts) at the listed runs."""
+    """(anchor, context, at, key, first) for the texts (key, text, firsts) at the listed runs.
+
+    ``at`` is the place of the anchor in the context; equal contexts have it at the same place.
+    """
 
     def cut(batches):
         for batch in batches:
             for part, raw in slices(batch, "text"):
-                hashes, contexts, owners, starts = [], [], [], []
+                hashes, contexts, ats, owners, starts = [], [], [], [], []
                 for key, text, wanted in zip(part.column("key").to_pylist(), raw, part.column("firsts").to_pylist()):
-                    parts, found, first, last = anchors(symbols, text)
+                    parts, place, found, first, last = anchors(symbols, text)
                     for i in np.flatnonzero(np.isin(first, wanted)):
                         hashes.append(found[i])
                         contexts.append(symbols.cut(parts, int(first[i]), int(last[i]) + symbols.run))
+                        ats.append(int(place[i] - first[i]))
                         owners.append(key)
                         starts.append(int(first[i]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(contexts, pa.binary()), pa.array(owners, pa.binary()), pa.array(starts, pa.int64())],
-                    ["anchor", "context", "key", "first"],
+                    [pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(contexts, pa.binary()), pa.array(ats, pa.int32()), pa.array(owners, pa.binary()), pa.array(starts, pa.int64())],
+                    ["anchor", "context", "at", "key", "first"],
                 )
 
-    return texts.mapInArrow(cut, "anchor bigint, context binary, key binary, first bigint")
+    return texts.mapInArrow(cut, "anchor bigint, context binary, at int, key binary, first bigint")
 
 
 def counted(contexts: DataFrame, symbols: Symbols) -> DataFrame:
@@ -127,18 +133,42 @@ SPANS = "array<struct<start:bigint,end:bigint>>"
 SPAN_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def solved(contexts: DataFrame, solve: Solver) -> DataFrame:
-    """(anchor, context_key, spans) of the distinct contexts (anchor, context, n): symbols in repeated runs.
+def with_partners(rows: list[tuple], symbols: Symbols) -> list[tuple]:
+    """The contexts (context, n, at, key) of one anchor that may hold a run of another one, or their own twice.
 
-    A task takes whole groups of an anchor, sorted, some hundred kilobytes at a time.
+    A run that two contexts share goes on from the anchor to both sides, over
+    half of what it has besides the anchor on one of them at least. So contexts
+    that share neither that half with another one are left out.
+    """
+    half = -(-(symbols.run - symbols.gram) // 2)
+    sides, count = [], Counter()
+    for context, n, at, _ in rows:
+        parts = symbols.split(context)
+        right = at + symbols.gram
+        own = []
+        if at >= half:
+            own.append((0, symbols.cut(parts, at - half, at)))
+        if len(parts) - right >= half:
+            own.append((1, symbols.cut(parts, right, right + half)))
+        for side in own:
+            count[side] += n
+        sides.append(own)
+    return [row for row, own in zip(rows, sides) if any(count[side] > 1 for side in own)]
+
+
+def solved(contexts: DataFrame, symbols: Symbols, solve: Solver) -> DataFrame:
+    """(anchor, context_key, spans) of the distinct contexts (anchor, context, at, n): symbols in repeated runs.
+
+    A task takes whole groups of an anchor, sorted; contexts that share no side of
+    it are put aside, and of the others some hundred kilobytes are solved at a time.
     """
 
     def work(batches):
         def out(rows):
             if not rows:
                 return
-            spans = solve([c for _, c, _, _ in rows], [n for _, _, n, _ in rows])
-            kept = [(a, k, s) for (a, _, _, k), s in zip(rows, spans) if s]
+            spans = solve([row[1] for row in rows], [row[2] for row in rows])
+            kept = [(row[0], row[3], s) for row, s in zip(rows, spans) if s]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([a for a, _, _ in kept], pa.int64()),
@@ -148,18 +178,20 @@ def solved(contexts: DataFrame, solve: Solver) -> DataFrame:
                 ["anchor", "context_key", "spans"],
             )
 
+        columns = ("anchor", "context", "n", "at", "context_key")
+        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in columns)))
         held, size = [], 0
-        for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "context", "n", "context_key"))):
-                if size >= GROUP_BYTES and row[0] != held[-1][0]:
-                    yield from out(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[1])
+        for anchor, group in groupby(rows, key=lambda row: row[0]):
+            for context, n, _, key in with_partners([(c, n, at, k) for _, c, n, at, k in group], symbols):
+                held.append((anchor, context, n, key))
+                size += len(context)
+            if size >= GROUP_BYTES:
+                yield from out(held)
+                held, size = [], 0
         yield from out(held)
 
     dealt = contexts.repartition("anchor").sortWithinPartitions("anchor")
-    return dealt.select("anchor", "context", "n", "context_key").mapInArrow(work, f"anchor bigint, context_key binary, spans {SPANS}")
+    return dealt.select("anchor", "context", "n", "at", "context_key").mapInArrow(work, f"anchor bigint, context_key binary, spans {SPANS}")
 
 
 def repeated_spans(docs: DataFrame, text_column: str, symbols: Symbols, solve: Solver) -> DataFrame:
@@ -170,8 +202,10 @@ def repeated_spans(docs: DataFrame, text_column: str, symbols: Symbols, solve: S
     texts = docs.select(text_key(F.col(text_column)).alias("key"), F.col(text_column).alias("text")).where("text is not null")
     found = stored(anchor_rows(texts, symbols), "anchors")
     place = F.xxhash64("key", "first")
-    shared = (
-        found.groupBy("anchor").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high").select("anchor")
+    # stored, so that the join has two plain shuffles and adaptive execution may split a frequent anchor
+    shared = stored(
+        found.groupBy("anchor").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high").select("anchor"),
+        "anchors-twice",
     )
     wanted = stored(
         found.join(shared, "anchor").groupBy("key").agg(F.collect_set("first").alias("firsts")), "anchors-shared"
@@ -180,13 +214,13 @@ def repeated_spans(docs: DataFrame, text_column: str, symbols: Symbols, solve: S
     contexts = stored(
         context_rows(distinct, symbols).withColumn("context_key", text_key(F.col("context"))), "contexts"
     )
-    merged = contexts.groupBy("anchor", "context_key").agg(F.first("context").alias("context"), F.count("*").alias("n"))
+    merged = contexts.groupBy("anchor", "context_key").agg(F.first("context").alias("context"), F.first("at").alias("at"), F.count("*").alias("n"))
     per_anchor = contexts.select("anchor", "context_key").distinct().groupBy("anchor").agg(F.count("*").alias("contexts"))
     crowded = stored(per_anchor.where(F.col("contexts") > GROUP_CONTEXTS).select("anchor"), "crowded")
     if crowded.isEmpty():
-        spans = solved(merged, solve)
+        spans = solved(merged, symbols, solve)
     else:
-        spans = solved(merged.join(crowded, "anchor", "left_anti"), solve).unionByName(counted(merged.join(crowded, "anchor"), symbols))
+        spans = solved(merged.join(crowded, "anchor", "left_anti"), symbols, solve).unionByName(counted(merged.join(crowded, "anchor"), symbols))
     each = contexts.select("anchor", "context_key", "key", "first").join(stored(spans, "spans"), ["anchor", "context_key"])
     moved = F.transform("spans", lambda s: F.struct((s["start"] + F.col("first")).alias("start"), (s["end"] + F.col("first")).alias("end")))
     return each.select("key", moved.alias("spans")).groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"))

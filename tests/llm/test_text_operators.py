@@ -62,6 +62,50 @@ def test_packing_keeps_every_id(spark):
     assert len(by_sequence) * 256 < used * 1.1
 
 
+ENDS = ["A.b. c.. d, (e). f.", "x.", "x,\ny.\tz.\x0b", "1. 2, é. 日.", ".", " . ", "a.\u00a0b.", "it's. IT'S.", "e\u0301. x", "q.\x1c r"]
+
+
+def test_words_give_the_ids_of_whole_texts(monkeypatch):
+    """Held words, forgotten or not, against the tokenizer, with odd spaces and marks; few words are encoded twice."""
+    rng = np.random.default_rng(8)
+    texts = [*[t or "" for t in ODD], *ENDS, "Ab, c. <|EndOfText|> D", "x<|endoftext|>y"]
+    texts += [" ".join(f"Head{i}." if rng.random() < 0.8 else f"tail{rng.integers(0, 10**6)}," for i in rng.integers(0, 30, 400)) for _ in range(40)]
+    plain = Tokenizer.from_file(VOCABULARY)
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(packing, "WORDS_KEPT", 1_500)
+    words = packing.WordEncoder(VOCABULARY)
+    encoded = []
+    apart = words.encoded_apart
+    monkeypatch.setattr(words, "encoded_apart", lambda part: encoded.extend(part) or apart(part))
+    got = [ids for t in texts for ids in words.ids([t.encode()])]
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
+    heads = Counter(w for w in encoded if w.startswith("head"))
+    assert len(heads) == 30 and max(heads.values()) == 1
+    assert len(words.words) + len(words.older) <= 2 * 1_500
+    assert words.ids([]) == []
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_other_vocabularies_are_applied_to_whole_texts(spark, name, tmp_path):
+    path = public_tokenizers.path(name)
+    if name.startswith("word"):  # the same file without lower-casing is no word vocabulary any more
+        with open(path, encoding="utf-8") as file:
+            settings = json.load(file)
+        assert packing.by_words(settings)
+        settings["normalizer"]["normalizers"].pop()
+        path = f"{tmp_path}/{name}"
+        with open(path, "w", encoding="utf-8") as file:
+            json.dump(settings, file)
+    assert type(packing.encoder(path)) is packing.TextEncoder
+    texts = [*ODD, *ENDS, "Ab, c. D"]
+    rows = packing.token_pieces(table(spark, texts), path, 1, size=512, with_ids=True).collect()
+    tokenizer = Tokenizer.from_file(path)
+    for i, text in enumerate(texts):
+        own = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)
+        ids = np.frombuffer(b"".join(r.ids for r in own), packing.id_type(path)).tolist()
+        assert ids == tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+
+
 def test_packing_of_nothing(spark):
     assert packing.pack_documents(table(spark, []), VOCABULARY, 1).collect() == []
 
