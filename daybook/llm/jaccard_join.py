@@ -18,7 +18,9 @@ of the first hashes of either; only sets that do are compared:
 
 Defined results: a text that is NULL or has no words has an empty set and is alone;
 fewer than five words are one sequence; equal rows are in one group; rows with a
-NULL id count as members but have no id to give; an empty table gives no rows.
+NULL id count as members but have no id to give; of a group's rows with equal least ids
+``one_of_each_group`` keeps one; texts of any length are read whole; an empty table
+gives no rows; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import WordHashes, slices, stored, windows
+from .batches import fresh, WordHashes, slices, stored, windows
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -56,11 +58,11 @@ def shingle_set(words: WordHashes, text: bytes) -> np.ndarray:
 
 
 def set_rows(docs: DataFrame, id_column: str, text_column: str, percent: int) -> DataFrame:
-    """(doc_id, key, low, n, beginning): the key of the set, its first eight bytes as a number, and the beginning.
+    """(doc_id, text_hash, key, low, n, beginning): the key of the set, its first eight bytes as a number, and the beginning.
 
     A task gives the beginning of equal sets once.
     """
-    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), F.xxhash64(text_column).alias("text_hash"))
 
     def build(batches):
         words, seen = WordHashes(), set()
@@ -80,32 +82,41 @@ def set_rows(docs: DataFrame, id_column: str, text_column: str, percent: int) ->
                     else:
                         beginnings.append(None)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(keys, pa.binary()), pa.array(lows, pa.int64()), pa.array(sizes, pa.int64()), pa.array(beginnings, pa.list_(pa.int64()))],
-                    ["doc_id", "key", "low", "n", "beginning"],
+                    [part.column("doc_id"), part.column("text_hash"), pa.array(keys, pa.binary()), pa.array(lows, pa.int64()), pa.array(sizes, pa.int64()), pa.array(beginnings, pa.list_(pa.int64()))],
+                    ["doc_id", "text_hash", "key", "low", "n", "beginning"],
                 )
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(build, f"doc_id {kind}, key binary, low bigint, n bigint, beginning array<bigint>")
+    return texts.mapInArrow(build, f"doc_id {kind}, text_hash bigint, key binary, low bigint, n bigint, beginning array<bigint>")
 
 
-def full_sets(texts: DataFrame) -> DataFrame:
-    """(key, low, n, set) of the column text; the set as 64-bit numbers in turn."""
+def placed_sets(texts: DataFrame) -> DataFrame:
+    """(hub, members, key, low, n, set) of the columns text and hubs; the set as 64-bit numbers in turn.
+
+    ``hubs`` lists (low, hub, members) of the text. A task places a set at a hub once.
+    """
 
     def build(batches):
-        words = WordHashes()
+        words, seen = WordHashes(), set()
         for batch in batches:
-            for _, raw in slices(batch, "text"):
-                sets = [s for s in (shingle_set(words, t) for t in raw) if len(s)]
-                keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(keys, pa.binary()), pa.array([int.from_bytes(k[:8], "big", signed=True) for k in keys], pa.int64()),
-                        pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()),
-                    ],
-                    ["key", "low", "n", "set"],
-                )
-
-    return texts.select("text").mapInArrow(build, "key binary, low bigint, n bigint, set binary")
+            for part, raw in slices(batch, "text"):
+                rows = []
+                for text, hubs in zip(raw, part.column("hubs").to_pylist()):
+                    values = shingle_set(words, text)
+                    if not len(values):
+                        continue
+                    data = values.tobytes()
+                    key = xxhash.xxh3_128_digest(data)
+                    low = int.from_bytes(key[:8], "big", signed=True)
+                    for place in hubs:
+                        if place["low"] == low and (place["hub"], key) not in seen:
+                            seen.add((place["hub"], key))
+                            rows.append((place["hub"], place["members"], key, low, len(values), data))
+                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+                columns = list(zip(*rows)) or [()] * len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["hub", "members", "key", "low", "n", "set"])
+
+    return texts.select("text", "hubs").mapInArrow(build, "hub bigint, members bigint, key binary, low bigint, n bigint, set binary")
 
 
 def similar(overlap, n, m, percent: int):
@@ -255,21 +266,22 @@ def meeting_places(rows: DataFrame, percent: int) -> DataFrame:
 def links(docs: DataFrame, rows: DataFrame, id_column: str, text_column: str, percent: int) -> DataFrame:
     """(a, b): keys of sets, enough links to connect all that similar sets connect."""
     members = meeting_places(rows, percent)
-    named = rows.select("doc_id", "low").join(members.select("low").distinct(), "low").groupBy("low").agg(F.min("doc_id").alias("_id"))
-    chosen = docs.select(F.col(id_column).alias("_doc"), F.col(text_column).alias("text"))
-    chosen = chosen.join(named.select("_id").distinct(), F.col("_doc").eqNullSafe(F.col("_id")), "left_semi")
-    sets = stored(full_sets(chosen).dropDuplicates(["key"]), "sets")
     sizes = members.groupBy("hub").agg(F.count("*").alias("members")).where("members > 1")
-    placed = members.join(sizes, "hub")
-    small = placed.where(F.col("members") <= BLOCK_SETS).join(sets, "low").withColumn("probe", F.lit(True))
+    hubs = members.join(sizes, "hub").groupBy("low").agg(F.collect_list(F.struct("low", "hub", "members")).alias("hubs"))
+    first = rows.where("n > 0").groupBy("low").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")).join(hubs, "low")
+    named = first.groupBy("first.doc_id", "first.text_hash").agg(F.flatten(F.collect_list("hubs")).alias("hubs"))
+    chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.xxhash64(text_column).alias("own_hash"))
+    # which texts are wanted grows with the input: both sides are shuffled, at any size
+    same = (F.col("own_hash") == F.col("text_hash")) & F.col("id").eqNullSafe(F.col("doc_id"))
+    chosen = chosen.where("text is not null").join(named.hint("merge"), same)
+    sets = stored(placed_sets(chosen), "sets")
+    small = sets.where(F.col("members") <= BLOCK_SETS).withColumn("probe", F.lit(True))
     found = joined_blocks(small, ["hub"], percent)
-    large = stored(placed.where(F.col("members") > BLOCK_SETS), "large-hubs")
+    large = sets.where(F.col("members") > BLOCK_SETS)
     if large.isEmpty():
         return found
-    hub_sets = sets.join(large.select(F.col("hub").alias("low")).distinct(), "low").groupBy("low").agg(
-        F.min_by("key", "key").alias("hub_key"), F.min_by("set", "key").alias("hub_set")
-    )
-    compared = stored(hub_links(large.join(sets, "low").join(hub_sets.withColumnRenamed("low", "hub"), "hub"), percent), "compared")
+    hub_sets = large.where("low = hub").groupBy("hub").agg(F.min_by("key", "key").alias("hub_key"), F.min_by("set", "key").alias("hub_set"))
+    compared = stored(hub_links(large.join(hub_sets, "hub"), percent), "compared")
     found = found.unionByName(compared.where("linked and key != hub_key").select(F.col("hub_key").alias("a"), F.col("key").alias("b")))
     counts = compared.groupBy("hub").agg(F.count("*").alias("sets"), F.count_if(~F.col("linked")).alias("probes")).where("probes > 0")
     part = lambda seed, column: F.pmod(F.xxhash64("key", F.lit(seed)), F.ceil(F.col(column) / BLOCK_SETS).cast("bigint"))
@@ -316,11 +328,13 @@ def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", text_column: s
     groups = stored(similar_groups(docs, id_column, text_column, percent), "document-groups")
     counts = groups.agg(F.count("doc_id").alias("n"), F.count_distinct("doc_id").alias("ids")).first()
     if counts["n"] == counts["ids"]:
-        gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias("_gone"))
-        return docs.join(gone, F.col(id_column) == F.col("_gone"), "left_anti")
+        other = fresh(docs, "_gone")
+        gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias(other))
+        return docs.join(gone, F.col(id_column) == F.col(other), "left_anti")
     # an id with several texts: decide by id and text
-    again = docs.withColumn("_row", F.struct(F.col(id_column).alias("id"), F.unhex(F.md5(F.coalesce(text_column, F.lit("")))).alias("text")))
-    rows = similar_groups(again, "_row", text_column, percent).where("doc_id = component_id or doc_id.id is null or n_shingles = 0")
-    kept = rows.select(F.col("doc_id").alias("_kept")).distinct()
-    named = again.join(kept, F.col("_row").eqNullSafe(F.col("_kept")), "left_semi")
-    return named.where(F.col(id_column).isNotNull()).dropDuplicates(["_row"]).unionByName(named.where(F.col(id_column).isNull())).drop("_row")
+    row, other = fresh(docs, "_row"), fresh(docs, "_kept")
+    again = docs.withColumn(row, F.struct(F.col(id_column).alias("id"), F.unhex(F.md5(F.coalesce(text_column, F.lit("")))).alias("text")))
+    rows = similar_groups(again, row, text_column, percent).where("doc_id = component_id or doc_id.id is null or n_shingles = 0")
+    kept = rows.select(F.col("doc_id").alias(other)).distinct()
+    named = again.join(kept, F.col(row).eqNullSafe(F.col(other)), "left_semi")
+    return named.where(F.col(id_column).isNotNull()).dropDuplicates([row]).unionByName(named.where(F.col(id_column).isNull())).drop(row)
