@@ -10,7 +10,9 @@ literals; an unarmoured key ends where its own lengths say. A PEM block whose
 headers say that it is encrypted cannot be parsed and is a kind of its own.
 
 Defined results: NULL and empty texts have no spans; texts of any length are read
-whole; equal rows are scanned one by one; an empty table gives no rows.
+whole, in time in proportion to their length whatever they hold; equal rows are scanned one by one;
+an empty table gives no rows. Of structures that overlap the first found stays. With ``redact``
+other columns may have any name but ``found``, which is an error; else only id and text are read.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import binascii
 import bisect
 import json
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -54,49 +57,63 @@ BASE64_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvw
 BASE64_RUN = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 TOKEN_STARTS = ("eyJ", "ewo", "eyA", "ewk", "ew0")
+#: The most values side by side in a key, and public keys in an OpenSSH key.
+DER_VALUES, SSH_KEYS = 12, 16
 SIGNATURE_BYTES = {"HS256": 32, "HS384": 48, "HS512": 64, "ES256": 64, "ES384": 96, "ES512": 132, "EdDSA": 64}
 
 
-def der(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] | None:
-    """(tag, start, end) of the values that fill ``data[start:end]`` exactly, else None."""
+#: Reads some bytes from a place on; fewer where the data ends.
+Reader = Callable[[int, int], bytes]
+
+
+def reader(data: bytes) -> Reader:
+    return lambda at, count: data[at : at + count]
+
+
+def der(read: Reader, start: int, end: int) -> list[tuple[int, int, int]] | None:
+    """(tag, start, end) of the values that fill the bytes from ``start`` to ``end`` exactly, else None.
+
+    Only tags and lengths are read. No key has more than ``DER_VALUES`` values side by side.
+    """
     items = []
     while start < end:
-        if start + 2 > end:
+        head = read(start, min(6, end - start))
+        if len(head) < 2 or len(items) == DER_VALUES:
             return None
-        tag, size, at = data[start], data[start + 1], start + 2
+        size, at = head[1], 2
         if size & 0x80:
             count = size & 0x7F
-            if not 1 <= count <= 4 or at + count > end:
+            if not 1 <= count <= 4 or len(head) < 2 + count:
                 return None
-            size, at = int.from_bytes(data[at : at + count], "big"), at + count
-        if at + size > end:
+            size, at = int.from_bytes(head[2 : 2 + count], "big"), 2 + count
+        if start + at + size > end:
             return None
-        items.append((tag, at, at + size))
-        start = at + size
+        items.append((head[0], start + at, start + at + size))
+        start += at + size
     return items
 
 
-def is_der_key(data: bytes) -> bool:
-    """A private key in PKCS#1, SEC 1 or PKCS#8 form (plain or encrypted)."""
-    if len(data) < 32 or data[0] != 0x30:
+def is_der_key(read: Reader, length: int) -> bool:
+    """A private key in PKCS#1, SEC 1 or PKCS#8 form (plain or encrypted) that fills ``length`` bytes."""
+    if length < 32 or read(0, 1) != b"0":
         return False
-    outer = der(data, 0, len(data))
+    outer = der(read, 0, length)
     if not outer or len(outer) != 1:
         return False
-    inner = der(data, outer[0][1], outer[0][2])
+    inner = der(read, outer[0][1], outer[0][2])
     if not inner:
         return False
     tags = [t for t, _, _ in inner]
-    first = data[inner[0][1] : inner[0][2]]
+    first = read(inner[0][1], min(2, inner[0][2] - inner[0][1]))
     if tags[:9] == [0x02] * 9 and first in (b"\0", b"\1"):
         return True
     if tags[:2] == [0x02, 0x04] and first == b"\1" and inner[1][2] - inner[1][1] in range(20, 67):
         return True
     if tags[:3] == [0x02, 0x30, 0x04] and first in (b"\0", b"\1"):
-        algorithm = der(data, inner[1][1], inner[1][2])
+        algorithm = der(read, inner[1][1], inner[1][2])
         return bool(algorithm) and algorithm[0][0] == 0x06 and inner[2][2] > inner[2][1]
     if tags == [0x30, 0x04]:
-        algorithm = der(data, inner[0][1], inner[0][2])
+        algorithm = der(read, inner[0][1], inner[0][2])
         return bool(algorithm) and algorithm[0][0] == 0x06 and inner[1][2] - inner[1][1] >= 32
     return False
 
@@ -148,7 +165,7 @@ def is_signed_token(header: str, claims: str, signature: str) -> bool:
 def key_kind(data: bytes | None) -> str | None:
     if data is None:
         return None
-    return "ssh_key" if is_ssh_key(data) else "der_key" if is_der_key(data) else None
+    return "ssh_key" if is_ssh_key(data) else "der_key" if is_der_key(reader(data), len(data)) else None
 
 
 def pem_parts(body: str) -> tuple[dict[str, str], str]:
@@ -180,25 +197,52 @@ def pem_kind(body: str) -> str | None:
         return None
     if "ENCRYPTED" in headers.get("proc-type", "").upper():
         return "pem_encrypted" if len(data) >= 32 and len(data) % 8 == 0 else None
-    return "pem_key" if is_der_key(data) or is_ssh_key(data) else None
+    return "pem_key" if key_kind(data) else None
+
+
+class JoinedCode:
+    """The base64 characters of a text from a place on, over joins, as one code.
 
+    It is built once; any later start before ``end`` is an offset into it, so the
+    starts that one stretch of text holds do not each go through it again.
+    """
+
+    def __init__(self, text: str, start: int):
+        chunks, self.places, self.offsets, length, at = [], [], [], 0, start
+        while m := BASE64_CHUNK.match(text, at):
+            chunks.append(m[0])
+            self.places.append(at)
+            self.offsets.append(length)
+            length, at = length + len(m[0]), m.end()
+            if not (join := JOIN.match(text, at)) or not BASE64_CHUNK.match(text, join.end(), join.end() + 1):
+                break
+            at = join.end()
+        self.code, self.end = "".join(chunks).replace("-", "+").replace("_", "/"), at
+
+    def offset(self, place: int) -> int:
+        k = bisect.bisect(self.places, place) - 1
+        return self.offsets[k] + place - self.places[k]
+
+    def place(self, offset: int) -> int:
+        """Where the first ``offset`` characters end in the text."""
+        k = bisect.bisect_left(self.offsets, offset) - 1
+        return self.places[k] + offset - self.offsets[k]
 
-def gathered(text: str, at: int, size: int) -> tuple[str, int]:
-    """Up to ``size`` base64 characters from ``at`` on, over joins, and where they end."""
-    out, have = [], 0
-    while m := BASE64_CHUNK.match(text, at, at + size - have):
-        out.append(m[0])
-        have, at = have + len(m[0]), m.end()
-        if have == size or not (join := JOIN.match(text, at)):
-            break
-        if not BASE64_CHUNK.match(text, join.end(), join.end() + 1):
-            break
-        at = join.end()
-    return "".join(out), at
+    def reader(self, start: int) -> Reader:
+        """The bytes that the code means from the character ``start`` on; a read decodes no more than it asks for."""
 
+        def read(at: int, count: int) -> bytes:
+            first, last = at // 3, -(-(at + count) // 3)
+            part = self.code[start + 4 * first : start + 4 * last]
+            data = base64.b64decode(part[: len(part) - (len(part) % 4 == 1)] + "=" * (-len(part) % 4 % 3))
+            return data[at - 3 * first : at - 3 * first + count]
 
-def der_size(head: bytes) -> int | None:
+        return read
+
+
+def der_size(read: Reader) -> int | None:
     """The bytes of a DER sequence of an integer or a sequence, from its first bytes."""
+    head = read(0, 7)
     if len(head) < 7 or head[0] != 0x30:
         return None
     count = head[1] & 0x7F if head[1] & 0x80 else 0
@@ -207,34 +251,34 @@ def der_size(head: bytes) -> int | None:
     return 2 + count + (int.from_bytes(head[2 : 2 + count], "big") if count else head[1])
 
 
-def ssh_size(data: bytes) -> int | None:
-    """The bytes of an OpenSSH key at the start of ``data``: three fields, a number, as many public keys, one private part."""
+def ssh_size(read: Reader, length: int) -> int | None:
+    """The bytes of an OpenSSH key within ``length``: three fields, a number, as many public keys, one private part."""
+    if read(0, 15) != b"openssh-key-v1\0":
+        return None
     at, fields, needed = 15, 0, 4
-    while fields < needed and at + 4 <= len(data):
-        size = int.from_bytes(data[at : at + 4], "big")
+    while fields < needed and at + 4 <= length:
+        size = int.from_bytes(read(at, 4), "big")
         if fields == 3 and needed == 4:  # the number of keys stands between the fields
-            if not 1 <= size <= len(data):
+            if not 1 <= size <= SSH_KEYS:
                 return None
             at, needed = at + 4, 4 + size
             continue
         at, fields = at + 4 + size, fields + 1
-    return at if fields == needed and at <= len(data) else None
+    return at if fields == needed and at <= length else None
 
 
-def gathered_key(text: str, start: int) -> tuple[int, str] | None:
-    """End and kind of the key in base64 at ``start``, over any joins."""
-    if text[start] == "b":
-        code, _ = gathered(text, start, len(text))
-        data = decoded(code[: len(code) // 4 * 4]) if len(code) % 4 == 1 else decoded(code)
-        size = ssh_size(data) if data and data.startswith(b"openssh-key-v1\0") else None
-    else:
-        size = der_size(decoded(gathered(text, start, 12)[0]) or b"")
+def joined_key(text: str, joined: JoinedCode, start: int) -> tuple[int, str] | None:
+    """End and kind of the key in base64 at ``start``, which lies in ``joined``."""
+    offset = joined.offset(start)
+    read, left = joined.reader(offset), len(joined.code) - offset
+    kind = "ssh_key" if text[start] == "b" else "der_key"
+    size = ssh_size(read, left * 6 // 8) if kind == "ssh_key" else der_size(read)
     if not size:
         return None
     wanted = -(-8 * size // 6)
-    code, end = gathered(text, start, wanted)
-    if len(code) < wanted or not (kind := key_kind((decoded(code) or b"")[:size])):
+    if left < wanted or (kind == "der_key" and not is_der_key(read, size)):
         return None
+    end = joined.place(offset + wanted)
     for _ in range(-wanted % 4):
         end += text.startswith("=", end)
     return end, kind
@@ -277,11 +321,13 @@ def structure_spans(text: str) -> list[tuple[int, int, str]]:
             if kind := key_kind(decoded(m[0])):
                 add(*m.span(), kind)
     for pattern in KEY_STARTS:
-        reached = 0
+        reached, joined = 0, None
         for m in pattern.finditer(text):
             start = m.start()
             if start >= reached and (start == 0 or text[start - 1] not in BASE64_CHARACTERS or ESCAPED_END.match(text, start - 2)):
-                if key := gathered_key(text, start):
+                if joined is None or start >= joined.end:
+                    joined = JoinedCode(text, start)
+                if key := joined_key(text, joined, start):
                     reached = key[0]
                     add(start, *key)
     return spans
