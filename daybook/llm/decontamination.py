@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import slices, stored
+from .batches import fresh, slices, stored
 
 UNIT_WORDS = 64
 BLOCK_UNITS = 2
@@ -324,7 +324,9 @@ def _searcher(shared, names, threshold, question_overlap, answer_overlap):
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_column: str = "text", **thresholds) -> DataFrame:
     """The rows of ``docs`` that hold no test item. Rows with a NULL id are judged by their text like any other."""
-    hits = contaminated(docs.withColumn("_row", F.struct(id_column, F.xxhash64(text_column).alias("h"))), items, "_row", text_column, **thresholds)
-    found = hits.select(F.col("doc_id.h").alias("_h"), F.col(f"doc_id.{id_column}").alias("_id")).distinct()
-    same = F.col(id_column).eqNullSafe(F.col("_id")) & (F.xxhash64(text_column) == F.col("_h"))
+    row, own_hash, own_id = fresh(docs, "_row"), fresh(docs, "_hash"), fresh(docs, "_id")
+    hits = contaminated(
+        docs.withColumn(row, F.struct(F.col(id_column).alias("id"), F.xxhash64(text_column).alias("hash"))), items, row, text_column, **thresholds)
+    found = hits.select(F.col("doc_id.hash").alias(own_hash), F.col("doc_id.id").alias(own_id)).distinct()
+    same = F.col(id_column).eqNullSafe(F.col(own_id)) & (F.xxhash64(text_column) == F.col(own_hash))
     return docs.join(found, same, "left_anti")

@@ -146,12 +146,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of every document, and the verdict of the cascade in its measured order."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     order = tuple(rule for rule, _, _ in quality_rules.ordered_rules(docs))
-    rows = quality_rules.measured(docs, [*quality_rules.MEASURES])
-    base = quality_rules.cascade(quality_rules.BASE_RULES, F.col)
+    asked = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    rows = quality_rules.measured(docs, asked)
+
+    def measure(name):
+        """Measures that the query returns are there; others are computed for rows that get as far as their rule."""
+        return F.col(name) if name in asked else quality_rules.MEASURES[name](F.col("text"), F.lit(None))
+
+    base = quality_rules.cascade(quality_rules.BASE_RULES, measure)
     return rows.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "doc_id", *asked,
         base.isNotNull().alias("base_failed"),
-        quality_rules.cascade(order, F.col).isNull().alias("kept"),
+        quality_rules.cascade(order, measure).isNull().alias("kept"),
     )
 
 

@@ -79,8 +79,22 @@ def test_windows_and_minimizers():
     assert first[0] == 0 and last[-1] == len(order) - 20 and (first[1:] == last[:-1] + 1).all()
     for p, a, b in zip(place, first, last):
         for run in (a, b):
-            high = order[run : run + 20] >> np.uint64(16)
-            assert p == run + int(high.argmin())
+            assert p == run + int(order[run : run + 20].argmin())
+
+
+def test_equal_runs_pick_equal_places_in_texts_of_any_length():
+    """Hashes that agree in their upper bits are told apart in long texts as in short ones."""
+    rng = np.random.default_rng(3)
+    run = np.full(40, 1 << 62, np.uint64)
+    run[[10, 20]] = [(1 << 40) + 5, (1 << 40) + 2]
+    long = np.concatenate((rng.integers(1 << 50, 1 << 63, 100_000).astype(np.uint64), run, rng.integers(1 << 50, 1 << 63, 500).astype(np.uint64)))
+    place, first, last = minimizers(run, 30)
+    assert place.tolist() == [20]
+    place, first, last = minimizers(long, 30)
+    assert 100_020 in place and 100_010 not in place[(first >= 100_000) & (first <= 100_010)]
+    for p, a, b in zip(place, first, last):
+        for k in (a, b):
+            assert p == k + int(long[k : k + 30].argmin())
 
 
 @pytest.mark.parametrize("block", [1_000, 3])
@@ -141,6 +155,17 @@ def test_repeated_words(spark, monkeypatch, crowd):
         assert (r.n_words, r.n_removed, r.kept_sha256) == (len(own), len(gone), hashlib.sha256(kept).hexdigest())
 
 
+def test_contexts_without_a_shared_side_are_put_aside():
+    gram = b"G" * 32
+    rng = np.random.default_rng(5)
+    left, right = (bytes(rng.integers(97, 123, 168).astype(np.uint8)) for _ in range(2))
+    other = [bytes(rng.integers(97, 123, 168).astype(np.uint8)) for _ in range(4)]
+    rows = [(left + gram + right, 1, 168, b"a"), (left[-90:] + gram + other[0][:100], 1, 90, b"b"), (other[1] + gram + right[:85], 1, 168, b"c"),
+            (other[2] + gram + other[3], 1, 168, b"d"), (other[0] + gram + other[1], 2, 168, b"e"), (left[-83:] + gram + other[2], 1, 83, b"f")]
+    kept = [key for _, _, _, key in repeats.with_partners(rows, suffix_dedup.BYTES)]
+    assert kept == [b"a", b"b", b"c", b"e"]
+
+
 def test_repeats_of_nothing(spark):
     empty = table(spark, [])
     assert suffix_dedup.repeated_bytes(empty).collect() == []
@@ -195,6 +220,6 @@ def test_pipeline_gives_token_ids(spark):
     for i, text in enumerate(texts):
         own = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)
         want = tokenizer.encode(text or "", add_special_tokens=False).ids + [corpus_pipeline.END_ID]
-        assert np.frombuffer(b"".join(r.ids for r in own), "<u4").tolist() == want
-        assert all(len(r.ids) == 4 * r.length for r in own)
+        assert np.frombuffer(b"".join(r.ids for r in own), "<u2").tolist() == want
+        assert all(len(r.ids) == 2 * r.length for r in own)
     assert len(rows) > len(texts)

@@ -4,6 +4,7 @@ import base64
 import json
 import re
 import textwrap
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,7 +13,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from daybook.llm import decontamination, language_id, license_scan, packing, quality_rules, secret_scan, url_filter
+from daybook.llm import decontamination, jaccard_join, language_id, license_scan, packing, quality_rules, secret_scan, url_filter
 from daybook.llm.registry import prepared
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, key string, spans string, _class int, label string"
@@ -431,3 +432,93 @@ def test_quality_cascade(spark):
     for rules in (quality_rules.RULES, quality_rules.RULES[::-1]):
         assert [r.doc_id for r in quality_rules.judge(docs, rules).where("rejected_by is null").collect()] == [0]
     assert quality_rules.keep_good(docs.limit(0)).collect() == []
+
+
+def scanned(text, kind):
+    """Base spans by trying every place in turn, without expressions."""
+    out, at, n = [], 0, len(text)
+    while at < n:
+        end = at
+        if kind == "hex":
+            while end < n and text[end] in "0123456789abcdef":
+                end += 1
+            good = end - at >= 32
+        elif kind == "access":
+            if text.startswith("AKIA", at):
+                end = at + 4
+                while end < n and text[end] in "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789":
+                    end += 1
+                end = end if end > at + 4 else at
+            good = end - at >= 16
+        else:
+            good = False
+            names = ("password", "passwd", "secret", "token", "api_key", "apikey")
+            low = "".join(c.lower() if c.isascii() else c for c in text[at : at + 8])
+            name = next((x for x in names if low.startswith(x)), None)
+            if name:
+                k = at + len(name)
+                for marks in ("\"'", None, ":=", None, "\"'"):
+                    if marks is None:
+                        while k < n and text[k] == " ":
+                            k += 1
+                    elif k < n and text[k] in marks:
+                        k += 1
+                    elif marks == ":=":
+                        k = n + 1
+                        break
+                value = k
+                while k < n and (text[k].isascii() and text[k].isalnum() or text[k] in "+/_.=-"):
+                    k += 1
+                if k <= n and k > value:
+                    end, good = k, k - value >= 8
+        if end > at:
+            out += [(at, end)] * good
+            at = end
+        else:
+            at += 1
+    return out
+
+
+def test_base_spans_against_brute_force():
+    rng = np.random.default_rng(6)
+    bits = ["password", "Passwd", "SECRET", "token", "api_key", "apikey", "api", "=", ":", " ", " ", "\"", "'", "\n", "AKIA", "AKIAAKIA",
+            "0123456789abcdef", "ABCDEF0123456789", "deadbeef", "x", "é", "\u212a", "ſecret", "+/_.=-", "9f8e7d6c5b4a3928"]
+    for _ in range(1500):
+        text = "".join(rng.choice(bits, int(rng.integers(1, 30))))
+        want = sorted((s, e, k) for k in secret_scan.BASE_KINDS for s, e in scanned(text, k))
+        assert sorted(secret_scan.base_spans(text)) == want, text
+
+
+@pytest.mark.parametrize("line", [
+    "b3Blbn\n", "MISAAAAAAgEA\n", "MIIBAAIBAA\n", "b3BlbnNzaC1rZXktdjEAAAAABG5vbmU\n", "eyJhbGci.eyJz.\n", "MIIB\" + \"", "\"\n",
+    "-----BEGIN PRIVATE KEY-----\n", "password = \n"])
+def test_scan_takes_time_in_proportion(line):
+    def seconds(size):
+        text = (line * (size // len(line) + 1))[:size]
+        start = time.perf_counter()
+        secret_scan.find_spans(text)
+        return time.perf_counter() - start
+
+    seconds(10_000)
+    small = min(sum(seconds(60_000) for _ in range(10)) for _ in range(2))
+    assert seconds(600_000) < 2 * small + 0.3
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns named like the operators' own helpers come through unchanged."""
+    names = ["_h", "_id", "_hash", "_row", "_kept", "_gone", "_words", "_text", "rejected_by", "_rejected_by", "words", "doc", "label", "key"]
+    good = " ".join(f"word{i} and{i % 7}" for i in range(60))
+    rows = [(i, t, *[f"{n}{i}" for n in names]) for i, t in enumerate([good, good + " more", None, "short", "x " * 90])]
+    rows.append(rows[0])
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"{n} string" for n in names))
+    items = spark.createDataFrame([(1, good, "")], "item_id bigint, question string, answer string")
+    kept = quality_rules.keep_good(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == sorted([rows[0], rows[1], rows[5]])
+    one = jaccard_join.one_of_each_group(docs)
+    assert one.columns == docs.columns and sorted(r.doc_id for r in one.collect()) == [0, 2, 3, 4]
+    assert {tuple(r) for r in one.collect()} <= set(rows)
+    once = jaccard_join.one_of_each_group(docs.where("doc_id > 0"))
+    assert once.columns == docs.columns and sorted(map(tuple, once.collect())) == sorted(rows[1:5])
+    clean = decontamination.remove_contaminated(docs, items)
+    assert clean.columns == docs.columns and sorted(map(tuple, clean.collect())) == sorted(rows[2:5])
+    assert quality_rules.judge(docs).where("doc_id = 3").first()["rejected_by"] == "too_short"
