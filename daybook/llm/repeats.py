@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from .batches import minimizers, slices, stored, windows
 
 GROUP_BYTES = 400_000
+#: Bytes of text whose runs are hashed at once.
+TASK_BYTES = 1_500_000
 #: Contexts of one anchor in a task; the runs of an anchor with more are counted by hash.
 GROUP_CONTEXTS = 20_000
 
@@ -61,7 +63,7 @@ def anchor_rows(texts: DataFrame, symbols: Symbols) -> DataFrame:
     def find(batches):
         seen: set[bytes] = set()
         for batch in batches:
-            for part, raw in slices(batch, "text"):
+            for part, raw in slices(batch, "text", TASK_BYTES):
                 keys = part.column("key").to_pylist()
                 found, owners, firsts = [np.empty(0, np.uint64)], [], [np.empty(0, np.int64)]
                 for key, text in zip(keys, raw):
@@ -88,7 +90,7 @@ def context_rows(texts: DataFrame, symbols: Symbols) -> DataFrame:
 
     def cut(batches):
         for batch in batches:
-            for part, raw in slices(batch, "text"):
+            for part, raw in slices(batch, "text", TASK_BYTES):
                 hashes, contexts, ats, owners, starts = [], [], [], [], []
                 for key, text, wanted in zip(part.column("key").to_pylist(), raw, part.column("firsts").to_pylist()):
                     parts, place, found, first, last = anchors(symbols, text)
@@ -252,7 +254,7 @@ def removed(docs: DataFrame, id_column: str, text_column: str, symbols: Symbols,
 
     def cut(batches):
         for batch in batches:
-            for part, raw in slices(batch, "text"):
+            for part, raw in slices(batch, "text", TASK_BYTES):
                 copied, found = part.column("copied").to_pylist(), part.column("spans").to_pylist()
                 results = [digest(t, None if c else joined(s or [])) for t, c, s in zip(raw, copied, found)]
                 columns = [pa.array(c) for c in zip(*results)]
