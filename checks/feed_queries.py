@@ -356,8 +356,10 @@ _METRICS = ("metrics", """
       trade_rejection_count, total_rejection_count, pnl_unresolvable_count, portfolio_pnl_count,
       CAST(total_realized_pnl_usd AS VARCHAR) AS total_realized_pnl_usd,
       trade_reject_rate, overall_reject_rate,
-      (SELECT count(*) FROM rejected_records WHERE rejection_rule = 'TRADE_MISSING_SYMBOL') AS missing_symbols,
-      (SELECT count(*) FROM rejected_records WHERE source_name = 'market_data') AS market_rejections,
+      (SELECT string_agg(rejection_rule || '=' || n, ',' ORDER BY rejection_rule)
+        FROM (SELECT rejection_rule, count(*) AS n FROM rejected_records GROUP BY 1) r) AS by_rule,
+      (SELECT string_agg(source_name || '=' || n, ',' ORDER BY source_name)
+        FROM (SELECT source_name, count(*) AS n FROM rejected_records GROUP BY 1) r) AS by_source,
       trade_reject_rate < 0.02 AND pnl_unresolvable_count < 100 AS passed
     FROM metrics""", _RUN_COUNTS, _METRICS), dates="run_date")
 def run_metrics(spark, sf_dir):
@@ -366,8 +368,10 @@ def run_metrics(spark, sf_dir):
         "run_date", "pipeline_name", "total_trade_count", "clean_trade_count",
         "trade_rejection_count", "total_rejection_count", "pnl_unresolvable_count",
         "portfolio_pnl_count", "total_realized_pnl_usd", "trade_reject_rate", "overall_reject_rate",
-        F.col("rejection_count_by_rule")["TRADE_MISSING_SYMBOL"].alias("missing_symbols"),
-        F.col("rejection_count_by_source")["market_data"].alias("market_rejections"),
+        *[
+            F.array_join(F.array_sort(F.transform(F.map_entries(whole), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",").alias(name)
+            for whole, name in (("rejection_count_by_rule", "by_rule"), ("rejection_count_by_source", "by_source"))
+        ],
         F.col("quality_gate.passed").alias("passed"),
     )
 

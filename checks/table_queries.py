@@ -264,6 +264,33 @@ def metrics_reconciliation(spark, sf_dir):
     return V.reconcile_metrics(metrics, tables(spark, sf_dir), X.RUN_DATE)
 
 
+@query("sources_reconciliation", expect("""
+    SELECT (SELECT min(run_date) FROM typed_trades) AS run_date, metric,
+      CASE metric WHEN 'total_trade_count' THEN n WHEN 'clean_trade_count' THEN n + 1 END AS manifest_value,
+      n AS run_value, CASE metric WHEN 'portfolio_pnl_count' THEN NULL ELSE n END AS table_value,
+      CASE metric WHEN 'clean_trade_count' THEN 'different' WHEN 'portfolio_pnl_count' THEN 'missing in table' ELSE 'ok' END AS status
+    FROM t
+    UNION ALL SELECT (SELECT min(run_date) FROM typed_trades), 'planted_gap', 7, NULL, NULL, 'missing in run, table' """,
+    ("t", """
+      SELECT 'clean_trade_count' AS metric, count(*) AS n FROM clean_trades
+      UNION ALL SELECT 'portfolio_pnl_count', count(*) FROM portfolio_pnl
+      UNION ALL SELECT 'total_rejection_count', count(*) FROM rejected_records
+      UNION ALL SELECT 'trade_rejection_count', count(*) FROM rejected_records WHERE source_name = 'trades'
+      UNION ALL SELECT 'pnl_unresolvable_count', count(*) FROM clean_trades WHERE pnl_unresolvable
+      UNION ALL SELECT 'total_trade_count', count(*) FROM judged_trades
+      UNION ALL SELECT 'rule:' || rejection_rule, count(*) FROM rejected_records GROUP BY 1
+      UNION ALL SELECT 'source:' || source_name, count(*) FROM rejected_records GROUP BY 1""")), dates="run_date")
+def sources_reconciliation(spark, sf_dir):
+    """Manifest, metrics and tables of a date, with a wrong count, a metric nobody else has and a table without its rows."""
+    metrics = build_metrics(*totals(spark, sf_dir))
+    held = tables(spark, sf_dir)
+    held["portfolio_pnl"] = held["portfolio_pnl"].where("false")
+    counts = metrics.select("run_date", "total_trade_count", (F.col("clean_trade_count") + 1).alias("clean_trade_count"), F.lit(7).cast("bigint").alias("planted_gap"))
+    manifest = counts.unpivot(["run_date"], ["total_trade_count", "clean_trade_count", "planted_gap"], "metric", "value")
+    manifest = manifest.withColumn("run_date", F.col("run_date").cast("date"))
+    return V.reconcile_sources(manifest, metrics, held)
+
+
 # --- data contracts ---------------------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import os
 
-from daybook.functions.dates import parse_run_date
+from daybook.functions.dates import parse_run_date, resolve_run_date
 from daybook.plans import pipeline
 from daybook.sources.session import create_session
 
@@ -14,7 +14,8 @@ def parse_args(args: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="daybook", description=__doc__)
     parser.add_argument("job", choices=["run", "load", "models"])
     parser.add_argument("--run-date", type=parse_run_date, nargs="+", default=[],
-                        help="one or more dates, YYYY-MM-DD")
+                        help="one or more dates, YYYY-MM-DD; without it the logical date")
+    parser.add_argument("--logical-date", type=parse_run_date, help="the scheduler's date of this run")
     parser.add_argument("--in-root", help="folder or bucket of the feeds")
     parser.add_argument("--out-root", help="folder or bucket of the outputs")
     parser.add_argument("--warehouse", help="folder or bucket of the warehouse tables")
@@ -24,6 +25,8 @@ def parse_args(args: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--s3-access-key", default=os.getenv("S3_ACCESS_KEY"))
     parser.add_argument("--s3-secret-key", default=os.getenv("S3_SECRET_KEY"))
     options = parser.parse_args(args)
+    if not options.run_date and options.logical_date:
+        options.run_date = [resolve_run_date(None, options.logical_date)]
     required = {
         "run": ["run_date", "in_root", "out_root"],
         "load": ["run_date", "out_root", "warehouse"],

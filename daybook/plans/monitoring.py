@@ -227,3 +227,89 @@ def reconcile_metrics(metrics: DataFrame, tables: dict[str, DataFrame], run_date
         for metric, table in same_count.items()
     ]
     return reconcile(expected, union_all_by_name(counted))
+
+
+# Metric of a run -> the table and the condition on its rows whose count it must equal.
+_TABLE_METRICS = {
+    "clean_trade_count": ("processed_trades", None),
+    "portfolio_pnl_count": ("portfolio_pnl", None),
+    "total_rejection_count": ("rejected_records", None),
+    "trade_rejection_count": ("rejected_records", S.TRADES),
+    "pnl_unresolvable_count": ("unresolvable_pnl", None),
+}
+RECONCILED = ["total_trade_count", *_TABLE_METRICS]
+
+
+def run_metric_values(metrics: DataFrame) -> DataFrame:
+    """(run_date, metric, value) of metrics documents: the counts, and the entries of both maps as ``rule:`` and ``source:``."""
+    day = F.col("run_date").cast("date").alias("run_date")
+    counts = metrics.select(day, *[F.col(m).cast("bigint").alias(m) for m in RECONCILED]).unpivot(
+        ["run_date"], RECONCILED, "metric", "value"
+    )
+    maps = [
+        metrics.select(day, F.explode(column).alias("key", "value")).select(
+            "run_date", F.concat(F.lit(prefix), "key").alias("metric"), "value"
+        )
+        for prefix, column in (("rule:", "rejection_count_by_rule"), ("source:", "rejection_count_by_source"))
+    ]
+    return union_all_by_name([counts, *maps]).where(F.col("value").isNotNull())
+
+
+def table_metric_values(tables: dict[str, DataFrame]) -> DataFrame:
+    """The same metrics as far as they are counts of warehouse rows, for every date that has rows; one pass over each table."""
+    parts = []
+    rejected = tables["rejected_records"].groupBy("run_date", "source_name", "rejection_rule").agg(F.count("*").alias("n"))
+    for metric, (name, source) in _TABLE_METRICS.items():
+        day = S.TABLES[name].partition_column
+        if name == "rejected_records":
+            counted = rejected.where(F.col("source_name") == source) if source else rejected
+            sums = counted.groupBy("run_date").agg(F.sum("n").alias("value"))
+        else:
+            sums = tables[name].groupBy(F.col(day).alias("run_date")).agg(F.count("*").alias("value"))
+        parts.append(sums.select("run_date", F.lit(metric).alias("metric"), "value"))
+    for prefix, column in (("rule:", "rejection_rule"), ("source:", "source_name")):
+        parts.append(rejected.groupBy("run_date", F.concat(F.lit(prefix), column).alias("metric")).agg(F.sum("n").alias("value")))
+    total = parts[0].unionByName(parts[3]).groupBy("run_date").agg(F.sum("value").alias("value"))
+    parts.append(total.select("run_date", F.lit("total_trade_count").alias("metric"), "value"))
+    return union_all_by_name(parts)
+
+
+def reconcile_sources(manifest: DataFrame | None, metrics: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Manifest, run metrics and tables side by side: one row for each date and metric that any of them has.
+
+    Columns: run_date, metric, manifest_value, run_value, table_value, status. Status is
+    ``ok`` where all that are asked agree, ``different`` where two values differ, or else
+    ``missing in`` with the names of the sides without a value. A count of zero leaves no rows in a
+    table, so a table without the metric agrees with zero. The manifest is only asked for metrics
+    it names on some date; pass None where there is none.
+    """
+    sides = {"run": run_metric_values(metrics), "table": table_metric_values(tables)}
+    if manifest is not None:
+        sides = {"manifest": manifest.select("run_date", "metric", F.col("value").cast("bigint").alias("value"))} | sides
+    long = union_all_by_name([df.withColumn("side", F.lit(name)) for name, df in sides.items()])
+    wide = long.groupBy("run_date", "metric").pivot("side", list(sides)).agg(F.sum("value"))
+    if manifest is None:
+        asked = F.lit(False)
+    else:
+        named = manifest.select("metric").distinct().withColumn("asked", F.lit(True))
+        wide = wide.join(F.broadcast(named) if _few(named) else named, "metric", "left")
+        asked = F.coalesce("asked", F.lit(False))
+    manifest_value = F.col("manifest") if manifest is not None else F.lit(None).cast("bigint")
+    table_value = F.coalesce(F.col("table"), F.when(F.coalesce("run", manifest_value) == 0, F.lit(0).cast("bigint")))
+    values = {"manifest": manifest_value, "run": F.col("run"), "table": table_value}
+    known = F.array_compact(F.array(*values.values()))
+    wanted = {"manifest": asked, "run": F.lit(True), "table": F.lit(True)}
+    absent = F.concat_ws(", ", *[F.when(wanted[n] & v.isNull(), F.lit(n)) for n, v in values.items()])
+    status = (
+        F.when(F.array_min(known) != F.array_max(known), "different")
+        .when(absent != "", F.concat(F.lit("missing in "), absent))
+        .otherwise("ok")
+    )
+    return wide.select(
+        "run_date", "metric", *[v.alias(f"{n}_value") for n, v in values.items()], status.alias("status")
+    )
+
+
+def _few(names: DataFrame, most: int = 10_000) -> bool:
+    """Whether a list of names is small enough to be sent to every task."""
+    return names.limit(most + 1).count() <= most

@@ -9,7 +9,11 @@ def test_arguments():
     options = parse_args(["run", "--run-date", "2026-08-03", "2026-08-04", "--in-root", "a", "--out-root", "b"])
     assert options.run_date == [date(2026, 8, 3), date(2026, 8, 4)]
     assert object_store(options) is None
-    for bad in (["run", "--run-date", "soon", "--in-root", "a", "--out-root", "b"], ["load", "--out-root", "b"], ["sleep"]):
+    places = ["--in-root", "a", "--out-root", "b"]
+    assert parse_args(["run", "--logical-date", "2026-08-03", *places]).run_date == [date(2026, 8, 3)]
+    both = ["run", "--logical-date", "2026-08-03", "--run-date", "2026-08-01", *places]
+    assert parse_args(both).run_date == [date(2026, 8, 1)]
+    for bad in (["run", "--run-date", "soon", "--in-root", "a", "--out-root", "b"], ["load", "--out-root", "b"], ["run", *places], ["sleep"]):
         with pytest.raises(SystemExit):
             parse_args(bad)
 
