@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from daybook.llm import decontamination, jaccard_join, language_id, license_scan, packing, quality_rules, secret_scan, url_filter
@@ -522,3 +523,12 @@ def test_stages_keep_columns_of_any_name(spark):
     clean = decontamination.remove_contaminated(docs, items)
     assert clean.columns == docs.columns and sorted(map(tuple, clean.collect())) == sorted(rows[2:5])
     assert quality_rules.judge(docs).where("doc_id = 3").first()["rejected_by"] == "too_short"
+
+
+def test_least_hashed_rows_are_those_of_a_whole_sort(spark):
+    rows = spark.createDataFrame([(f"l{i % 3}", f"text {i}") for i in range(2000)] + [("l0", "copied")] * 900, "lang string, text string")
+    for most in (5, 60, 2900):
+        want = rows.orderBy(F.xxhash64("text"), "lang").limit(most).collect()
+        assert sorted(map(tuple, language_id.least_hashed(rows, most).collect())) == sorted(map(tuple, want))
+    same = rows.where("text = 'copied'")
+    assert language_id.least_hashed(same, 7).count() == 7 and language_id.least_hashed(rows.where("false"), 7).count() == 0
