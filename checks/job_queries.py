@@ -250,7 +250,7 @@ def load_audit(spark, sf_dir):
 # --- jobs -------------------------------------------------------------------------------
 
 NEXT = X.RUN_DATE + timedelta(days=1)
-#: The derived feeds are dirtier than the gate allows; its own thresholds are used by the query quality_gate and in tests of the load.
+#: The derived feeds are dirtier than the gate allows; its own thresholds are used by the query gate_disagreement and in tests of the load.
 MAX_RATE, MAX_UNRESOLVABLE = 2.0, 10**9
 
 
