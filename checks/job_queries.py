@@ -424,6 +424,84 @@ def models_build(spark, sf_dir):
     return pipeline.build_models(spark, warehouse).drop("status")
 
 
+# Declared constraints by table: rows behind it, columns with a value, keys, text lengths, digits before the point.
+_TRADE_BOUNDS = ({"order_id": 100, "portfolio_id": 50, "symbol": 50, "side": 10, "currency": 3}, {"quantity": 16, "trade_price": 12, "average_cost": 12})
+_TRADE_FIELDS = "order_id portfolio_id symbol side quantity trade_price average_cost currency transact_time trade_date"
+_CONTRACTS = {
+    "processed_trades": ("stored_trades", f"{_TRADE_FIELDS} pnl_unresolvable loaded_at", "order_id, trade_date",
+        _TRADE_BOUNDS[0] | {"market_currency": 3},
+        _TRADE_BOUNDS[1] | {"close_price": 12, "fx_rate_to_usd": 10, "realized_pnl_local": 20, "realized_pnl_usd": 20}),
+    "unresolvable_pnl": ("stored_unresolvable", f"{_TRADE_FIELDS} unresolvable_reason loaded_at", "order_id, trade_date", *_TRADE_BOUNDS),
+    "portfolio_pnl": ("stored_portfolio", "portfolio_id pnl_date position_count loaded_at", "portfolio_id, pnl_date",
+        {"portfolio_id": 50, "portfolio_name": 255},
+        {"total_market_value_usd": 20, "total_unrealized_pnl_usd": 20, "max_market_value_usd": 20, "max_daily_loss_usd": 20,
+         "max_position_concentration_pct": 6}),
+    "rejected_records": ("stored_rejects", "rejection_id source_name run_date rejection_rule rejection_reason rejected_at loaded_at", "rejection_id",
+        {"source_name": 50, "record_identifier": 255, "rejection_rule": 100}, {}),
+}
+_STORED = (
+    ("stored_trades", f"""SELECT order_id, portfolio_id, symbol, side, quantity, trade_price, average_cost, currency, transact_time, trade_date,
+      close_price, market_currency, fx_rate_to_usd, realized_pnl_local, realized_pnl_usd, pnl_unresolvable, 1 AS loaded_at FROM clean_trades
+      UNION ALL SELECT order_id, portfolio_id, symbol, side, quantity, trade_price, average_cost, currency, transact_time, trade_date,
+      NULL, NULL, NULL, NULL, NULL, TRUE, 1 FROM ({LATE_SQL}) l"""),
+    ("stored_unresolvable", "SELECT *, 1 AS unresolvable_reason FROM stored_trades WHERE pnl_unresolvable"),
+    ("stored_portfolio", "SELECT *, 1 AS loaded_at FROM portfolio_pnl"),
+    ("stored_rejects", "SELECT row_number() OVER () AS rejection_id, *, 1 AS rejected_at, 1 AS loaded_at FROM rejected_records"),
+)
+
+
+@query("contract_report", expect(" UNION ALL ".join(
+    f"""SELECT '{table}' AS "table", '{column}' AS "column", '{check}' AS "check", CAST({failures} AS BIGINT) AS failures FROM {rows}"""
+    for table, (rows, required, key, lengths, digits) in _CONTRACTS.items()
+    for column, check, failures in [
+        *[(c, "not_null", f"count(*) FILTER ({c} IS NULL)") for c in required.split()],
+        *[(c, "bounds", f"count(*) FILTER (length({c}) > {n})") for c, n in lengths.items()],
+        *[(c, "bounds", f"count(*) FILTER (abs({c}) >= 1e{n})") for c, n in digits.items()],
+        (key, "primary_key", f"(SELECT count(*) FROM (SELECT 1 FROM {rows} GROUP BY {key} HAVING count(*) > 1) d) + 0 * count(*)"),
+    ]), *_STORED))
+def contract_report(spark, sf_dir):
+    """All declared constraints of the four tables of a loaded warehouse."""
+    _, warehouse = loaded(spark, sf_dir)
+    return pipeline.contract_report(spark, warehouse).drop("status")
+
+
+_INCOMING = """
+    SELECT order_id, side, CASE WHEN quantity > 45 THEN 1 ELSE 0 END AS wide,
+      CASE WHEN quantity < 5 THEN 1 ELSE 0 END AS wordy, CASE WHEN side = 'SELL' AND quantity < 10 THEN 1 ELSE 0 END AS absent
+    FROM clean_trades"""
+
+
+@query("contract_quarantine", expect("""
+    SELECT 'loaded ' || side AS part, '' AS "column", '' AS "check", count(*) AS row_count FROM t WHERE wide + wordy + absent = 0 GROUP BY ALL
+    UNION ALL SELECT 'set aside', '', '', count(*) FROM t WHERE wide + wordy + absent > 0
+    UNION ALL SELECT 'violation', 'quantity', 'type', count(*) FROM t WHERE wide = 1
+    UNION ALL SELECT 'violation', 'portfolio_id', 'length', count(*) FROM t WHERE wordy = 1
+    UNION ALL SELECT 'violation', 'currency', 'not_null', count(*) FROM t WHERE absent = 1""", ("t", _INCOMING)))
+def contract_quarantine(spark, sf_dir):
+    """Trades that come as text, some with a quantity too wide, a portfolio too long or no currency: loaded and set aside."""
+    root = work_folder(spark, "quarantine")
+    clean = clean_trades.__wrapped__(spark, sf_dir)
+    quantity = F.col("quantity")
+    incoming = clean.select(
+        *[F.col(c).cast("string").alias(c) for c in clean.columns if c not in ("quantity", "portfolio_id", "currency")],
+        F.when(quantity > 45, F.concat(quantity.cast("string"), F.lit("e15"))).otherwise(quantity.cast("string")).alias("quantity"),
+        F.when(quantity < 5, F.rpad("portfolio_id", 51, "x")).otherwise(F.col("portfolio_id")).alias("portfolio_id"),
+        F.when(~((F.col("side") == "SELL") & (quantity < 10)), F.col("currency")).alias("currency"),
+        F.lit(DAY).alias("dt"),
+    )
+    contract = S.TABLES["processed_trades"]
+    wh.reload_dates(wh.set_aside(incoming, root, contract, [DAY]), root, contract, [DAY])
+    none = F.lit("")
+    aside = wh.read_quarantine(spark, root, contract.name, [DAY])
+    kept = wh.read_table(spark, root, contract.name).groupBy(F.concat(F.lit("loaded "), "side").alias("part")).agg(F.count("*").alias("row_count"))
+    broken = aside.select(F.inline("violations")).groupBy("column", "check").agg(F.count("*").alias("row_count"))
+    return union_all_by_name([
+        kept.select("part", none.alias("column"), none.alias("check"), "row_count"),
+        aside.agg(F.count("*").alias("row_count")).select(F.lit("set aside").alias("part"), none.alias("column"), none.alias("check"), "row_count"),
+        broken.select(F.lit("violation").alias("part"), "column", "check", "row_count"),
+    ])
+
+
 @query("marts_incremental", expect("""
     SELECT trade_date, portfolio_id, symbol, count(*) AS trade_count,
       CAST(sum(CASE WHEN side = 'BUY' THEN quantity ELSE 0 END) AS DECIMAL(30,4)) AS buy_quantity,

@@ -162,14 +162,19 @@ def load_warehouse(
     run_id: str,
     max_reject_rate: float = MAX_REJECT_RATE,
     max_unresolvable: int = MAX_UNRESOLVABLE,
+    quarantine: bool = False,
 ) -> dict[str, dict[date, Reload]]:
-    """Judge the metrics of one or many dates; if all pass, reload the four tables, each by one commit."""
+    """Judge the metrics of one or many dates; if all pass, reload the four tables, each by one commit.
+
+    Rows that break a table's contract fail its load, or are set aside where ``quarantine`` is true.
+    """
     days = parse_run_dates(run_dates)
     metrics = read_metrics(spark, f"{out_root}/metrics", days)
     require_passed(quality_gate(metrics, max_reject_rate, max_unresolvable, strict=True))
     wh.create_tables(spark, warehouse)
     loaded = {
-        name: wh.load_table(spark, out_root, warehouse, name, days, run_id) for name in S.TABLES
+        name: wh.load_table(spark, out_root, warehouse, name, days, run_id, quarantine=quarantine)
+        for name in S.TABLES
     }
     absent = wh.missing_loads(wh.read_load_log(spark, warehouse), days, run_id).collect()
     if absent:

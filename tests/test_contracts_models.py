@@ -8,6 +8,7 @@ from daybook import schemas as S
 from daybook.operators import contracts as C
 from daybook.plans import models as M
 from daybook.plans import monitoring as V
+from daybook.sources import warehouse as wh
 
 DAY = date(2026, 8, 3)
 
@@ -58,6 +59,60 @@ def test_table_bounds_and_keys(spark):
     assert outcome(C.check_lengths(wide, contract))[("quantity", "bounds")] == (2, "fail")
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_row_constraints_share_one_pass(spark, tmp_path):
+    contract = S.TABLES["processed_trades"]
+    spark.createDataFrame([], S.table_schema(contract)).write.parquet(f"{tmp_path}/t")
+    text = plan(C.check_table(spark.read.parquet(f"{tmp_path}/t"), contract))
+    assert text.count("FileScan") == 2  # one for all rows' constraints, one for the key
+    assert "ReadSchema: struct<order_id:string,trade_date:date>" in text
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+def incoming(spark):
+    """Text cells: a good row, a repeated bad one, and NULLs in every column."""
+    contract = S.TABLES["unresolvable_pnl"]
+    good = {"order_id": "O", "portfolio_id": "P", "symbol": "S", "side": "BUY", "quantity": "1.00005",
+            "trade_price": "2", "average_cost": "3", "currency": "USD", "transact_time": "2026-08-03 10:00:00",
+            "trade_date": "2026-08-03", "unresolvable_reason": "why", "dt": "2026-08-03", "broken": "extra"}
+    wide = good | {"quantity": "1e16", "symbol": "S" * 51}
+    rows = [good, wide, wide, good | {"trade_date": "today"}, dict.fromkeys(good) | {"dt": "2026-08-03"}]
+    names = list(good)
+    frame = spark.createDataFrame([[r[c] for c in names] for r in rows], ", ".join(f"{c} string" for c in names))
+    return contract, frame.withColumn("dt", F.col("dt").cast("date"))
+
+
+def test_incoming_rows_are_loaded_or_set_aside(spark):
+    contract, frame = incoming(spark)
+    good, bad = C.split_by_contract(frame, contract, ["dt"])
+    assert good.columns == contract.columns and good.schema["quantity"].dataType == S.QUANTITY
+    assert [r["quantity"] for r in good.collect()] == [D("1.0001")]
+    found = sorted((sorted(f"{v['column']} {v['check']}" for v in r["violations"]) for r in bad.collect()), key=len)
+    assert found[0] == ["trade_date type"]
+    assert found[1] == found[2] == ["quantity type", "symbol length"]
+    assert found[3] == sorted(f"{c} not_null" for c in contract.required)
+    assert all('"broken":' in r["record"] for r in bad.collect())
+    empty = [df.count() for df in C.split_by_contract(frame.where("false"), contract)]
+    assert empty == [0, 0]
+
+
+@pytest.mark.parametrize("skipped, message", [(0, "(symbol|quantity) breaks its contract: (length|type)"), (1, "trade_date breaks its contract: not_null")])
+def test_a_load_of_bad_rows_fails_or_sets_them_aside(spark, tmp_path, skipped, message):
+    contract, frame = incoming(spark)
+    root = str(tmp_path)
+    wh.reload_dates(frame.where("quantity = '1.00005' and trade_date = '2026-08-03'"), root, contract, [DAY])
+    with pytest.raises(Exception, match=message):
+        wh.reload_dates(frame.where("trade_date is null" if skipped else "quantity = '1e16'"), root, contract, [DAY])
+    assert wh.read_table(spark, root, contract.name).count() == 1
+    for _ in range(2):
+        loaded = wh.reload_dates(wh.set_aside(frame, root, contract, [DAY]), root, contract, [DAY])
+    assert loaded == {DAY: wh.Reload(1, 1)}
+    assert wh.read_quarantine(spark, root, contract.name).count() == 4
+
+
 def test_trading_mart(spark):
     rows = [("P", "A", "BUY", D(2), D(1), D(1), False), ("P", "A", "SELL", D(3), None, None, True),
             ("P", "B", "BUY", D(4), None, None, True)]
