@@ -103,9 +103,10 @@ def test_incoming_rows_are_loaded_or_set_aside(spark):
 def test_a_load_of_bad_rows_fails_or_sets_them_aside(spark, tmp_path, skipped, message):
     contract, frame = incoming(spark)
     root = str(tmp_path)
-    wh.reload_dates(frame.where("quantity = '1.00005' and trade_date = '2026-08-03'"), root, contract, [DAY])
+    wh.reload_dates(frame.where("quantity = '1.00005' and trade_date = '2026-08-03'"), root, contract, [DAY], enforce=True)
     with pytest.raises(Exception, match=message):
-        wh.reload_dates(frame.where("trade_date is null" if skipped else "quantity = '1e16'"), root, contract, [DAY])
+        bad = frame.where("trade_date is null" if skipped else "quantity = '1e16'")
+        wh.reload_dates(bad, root, contract, [DAY], enforce=True)
     assert wh.read_table(spark, root, contract.name).count() == 1
     for _ in range(2):
         loaded = wh.reload_dates(wh.set_aside(frame, root, contract, [DAY]), root, contract, [DAY])
