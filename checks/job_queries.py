@@ -26,8 +26,15 @@ from daybook.plans import monitoring as V
 from daybook.plans import pipeline
 from daybook.sources import catalog, readers, warehouse as wh
 from daybook.sources.session import work_folder
-from daybook.sources.writers import project_contract, write_delimited, write_metrics, write_partitions
+from daybook.sources.writers import (
+    project_contract,
+    write_delimited,
+    write_metrics,
+    write_partitions,
+    write_portfolio_lines,
+)
 from daybook.streaming.ingest import ingest_new_files
+from daybook.streaming.jobs import DailyJob, run_batch, run_on_arrival
 
 DAY = X.RUN_DATE
 
@@ -60,6 +67,15 @@ def portfolio_json_scan(spark, sf_dir):
     return explode_positions(readers.read_portfolio_json(spark, root, [DAY])).select(*POSITION)
 
 
+@query("portfolio_lines_scan", expect(f"""
+    SELECT {POSITION_SQL} FROM judged_positions"""), dates="source_run_date")
+def portfolio_lines_scan(spark, sf_dir):
+    """Documents turned into one portfolio a line, and those lines read."""
+    root = work_folder(spark, "lines")
+    write_portfolio_lines(X.documents(spark, sf_dir), root)
+    return explode_positions(readers.read_portfolio_lines(spark, root, [DAY])).select(*POSITION)
+
+
 def monthly_trades(spark, sf_dir):
     """Clean trades of every date, with the first day of their month as ``dt``."""
     valid = trades(spark, sf_dir, X.DAILY)[0]
@@ -540,3 +556,50 @@ def model_catalog(spark, sf_dir):
     _, warehouse = loaded(spark, sf_dir)
     pipeline.build_models(spark, warehouse)
     return catalog.list_models(spark, warehouse)
+
+
+#: Between the shares of rejected trades of the two days.
+_STREAM_RATE = 0.9
+
+
+@query("stream_pipeline", expect(f"""
+    SELECT c.table_name, c.run_date, CAST(n AS BIGINT) AS row_count, CAST(1 AS BIGINT) AS loads FROM ({COUNTS_SQL}) c
+    JOIN rates r ON r.run_date = c.run_date WHERE r.rate < {_STREAM_RATE}
+    UNION ALL SELECT 'blocked', run_date, 0, 0 FROM rates WHERE rate >= {_STREAM_RATE}""",
+    ("rates", f"""
+      SELECT min(run_date) AS run_date, count(*) FILTER (rule IS NOT NULL)::DOUBLE / count(*) AS rate FROM judged_trades
+      UNION ALL SELECT CAST(min(run_date) + INTERVAL 1 DAY AS DATE), 1 - (SELECT count(*) FROM ({LATE_SQL}) l)::DOUBLE / count(*) FROM judged_trades""")),
+    dates="run_date")
+def stream_pipeline(spark, sf_dir):
+    """Feeds arrive one by one, then a day that the gate blocks; a batch run twice loads once."""
+    root = work_folder(spark, "arrivals")
+    feeds = f"{two_days(spark, sf_dir)}/in"
+    job = DailyJob(f"{root}/in", f"{root}/out", f"{root}/wh", "feeds", _STREAM_RATE, MAX_UNRESOLVABLE)
+
+    def arrive(source, day):
+        files = spark.read.option("recursiveFileLookup", True).text(f"{feeds}/{source}/dt={day}", wholetext=source != S.TRADES)
+        files.write.text(f"{root}/in/{source}/dt={day}/sent", lineSep="\n")
+
+    for day in (DAY, NEXT):
+        for source in S.SOURCES:
+            arrive(source, day)
+            if source == S.MARKET_DATA:
+                run_on_arrival(spark, job, f"{root}/checkpoint")
+    run_on_arrival(spark, job, f"{root}/checkpoint")
+    again = spark.createDataFrame([(S.TRADES, DAY)], "source_name string, run_date date")
+    last = wh.read_load_log(spark, job.warehouse).agg(F.max(F.regexp_extract("airflow_run_id", "[0-9]+$", 0).cast("int"))).first()[0]
+    run_batch(spark, job, again, last)
+    counts = [
+        df.groupBy(F.col(S.TABLES[name].partition_column).alias("run_date")).agg(F.count("*").alias("row_count"))
+        .select(F.lit(name).alias("table_name"), "run_date", "row_count")
+        for name, df in wh.read_tables(spark, job.warehouse).items()
+    ]
+    loads = wh.read_load_log(spark, job.warehouse).groupBy(
+        F.regexp_replace("target_table", "^raw\\.", "").alias("table_name"), "run_date"
+    ).agg(F.count("*").alias("loads"))
+    metrics = readers.read_metrics(spark, f"{root}/out/metrics", [DAY, NEXT])
+    blocked = metrics.where(~F.col("quality_gate.passed")).select(
+        F.lit("blocked").alias("table_name"), F.col("run_date").cast("date").alias("run_date"),
+        F.lit(0).cast("bigint").alias("row_count"), F.lit(0).cast("bigint").alias("loads"),
+    )
+    return union_all_by_name(counts).join(loads, ["table_name", "run_date"]).unionByName(blocked)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,10 +35,10 @@ from daybook.plans import monitoring
 from daybook.plans.models import MARTS, STAGING
 from daybook.sources import catalog, warehouse as wh
 from daybook.sources.readers import (
+    PORTFOLIO_FORMS,
     read_market_csv,
     read_metrics,
     read_partitions,
-    read_portfolio_json,
     read_tagged_text,
     require_source_dates,
 )
@@ -77,19 +78,24 @@ def run_pipeline(
     null_side_passes: bool = False,
     max_reject_rate: float = MAX_REJECT_RATE,
     max_unresolvable: int = MAX_UNRESOLVABLE,
+    portfolio_form: str = "documents",
 ) -> DataFrame:
     """Process the feeds of one or many dates; returns their metrics.
 
     Reads ``trades``, ``market_data`` and ``portfolio`` under ``in_root``, each
     by ``dt=``; a feed without files for a date is an error, raised before anything
     is written. Replaces the dates' folders
-    of the four outputs and the metrics under ``out_root``.
+    of the four outputs and the metrics under ``out_root``. ``portfolio_form`` says
+    whether portfolio files hold a document each or a portfolio a line.
     """
+    read_portfolio = PORTFOLIO_FORMS[portfolio_form]
     dates = [parse_run_date(d) for d in run_dates]
     require_source_dates(spark, in_root, dates)
     work = work_folder(spark, "run")
     try:
-        metrics = _write_outputs(spark, in_root, out_root, dates, work, null_side_passes)
+        metrics = _write_outputs(
+            spark, in_root, out_root, dates, work, null_side_passes, read_portfolio
+        )
         metrics = build_metrics(*metrics, max_reject_rate, max_unresolvable)
         write_metrics(metrics, f"{out_root}/metrics")
     finally:
@@ -104,6 +110,7 @@ def _write_outputs(
     dates: list[date],
     work: str,
     null_side_passes: bool,
+    read_portfolio: Callable[[SparkSession, str, list[date]], DataFrame],
 ) -> tuple[DataFrame, DataFrame]:
     """Write the four outputs; returns (totals per date, written rejects)."""
     day = F.col("dt")
@@ -118,7 +125,7 @@ def _write_outputs(
     message = F.when(F.col("rejection_rule").isNotNull(), F.col("raw_record"))
     trades = stage(trades.drop("dt").withColumn("raw_record", message), f"{work}/trades")
 
-    documents = read_portfolio_json(spark, f"{in_root}/portfolio", dates)
+    documents = read_portfolio(spark, f"{in_root}/portfolio", dates)
     judged = judge_positions(documents, day).drop("dt")
     if not small:
         # The shuffled join reads its rows twice; spare the documents a second parse.

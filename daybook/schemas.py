@@ -74,6 +74,8 @@ _PORTFOLIO = struct(
     metadata=struct(risk_limits=_RISK_LIMITS, source_system=_STRING, loaded_at=_TIMESTAMP),
 )
 PORTFOLIO_DOCUMENT = struct(run_date=_DATE, portfolios=T.ArrayType(_PORTFOLIO))
+#: The same, with one portfolio a line: each line says its document's date.
+PORTFOLIO_LINE = T.StructType([T.StructField("run_date", _DATE), *_PORTFOLIO.fields])
 
 METRICS_DOCUMENT = struct(
     clean_trade_count=_LONG,

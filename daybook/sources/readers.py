@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +64,32 @@ def read_portfolio_json(
     )
 
 
+def read_portfolio_lines(
+    spark: SparkSession, root: str, run_dates: list[date | str] | None = None
+) -> DataFrame:
+    """Files with one portfolio a line, in the shape of documents of one portfolio.
+
+    Such files are split, so a date's export may be of any size. A line that
+    is no JSON object or is empty of values is a document without portfolios.
+    """
+    lines = (
+        _reader(spark, root)
+        .schema(S.PORTFOLIO_LINE)
+        .json(partition_paths(root, run_dates))
+    )
+    fields = [f for f in S.PORTFOLIO_LINE.names if f != "run_date"]
+    present = reduce(or_, [F.col(f).isNotNull() for f in fields])
+    return lines.select(
+        "run_date",
+        F.when(present, F.array(F.struct(*fields))).alias("portfolios"),
+        "dt",
+    )
+
+
+#: How a portfolio export may be laid out.
+PORTFOLIO_FORMS = {"documents": read_portfolio_json, "lines": read_portfolio_lines}
+
+
 def read_partitions(
     spark: SparkSession,
     root: str,

@@ -39,6 +39,23 @@ def write_partitions(
         )
 
 
+def write_portfolio_lines(documents: DataFrame, root: str) -> None:
+    """The portfolios of documents, one a line, in the folder of their date; the dates are replaced.
+
+    The way from exports with documents that are large for one task: each is parsed
+    as a whole once more, then its portfolios are spread over files. A document
+    without portfolios leaves one line with its date only.
+    """
+    portfolios = documents.select("dt", "run_date", F.explode_outer("portfolios").alias("portfolio"))
+    spread = portfolios.select("dt", "run_date", "portfolio.*").hint("rebalance")
+    (
+        spread.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dt")
+        .json(root)
+    )
+
+
 def write_metrics(metrics: DataFrame, root: str) -> None:
     """One JSON line per run date, each in its own ``dt=`` folder."""
     lines = metrics_json(metrics).select(F.col("run_date").alias("dt"), "value")

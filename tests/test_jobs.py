@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 
 from daybook import schemas as S
 from daybook.operators.gate import QualityGateFailed
+from daybook.operators.portfolio import explode_positions
 from daybook.plans import monitoring as V
 from daybook.plans import pipeline
 from daybook.sources import catalog, readers, warehouse as wh
 from daybook.sources.session import work_folder
-from daybook.sources.writers import project_contract, write_delimited, write_metrics, write_partitions
+from daybook.sources.writers import (
+    project_contract, write_delimited, write_metrics, write_partitions, write_portfolio_lines,
+)
 from daybook.streaming.ingest import ingest_new_files
+from daybook.streaming.jobs import DailyJob, complete_dates, run_batch, run_on_arrival
 from tests.test_market_portfolio import portfolio, position
 from tests.test_trades import message
 
@@ -295,3 +299,79 @@ def test_stream_takes_each_file_once(spark, tmp_path):
 
 def test_work_folder_follows_the_session(spark):
     assert work_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_portfolio_lines_equal_documents(spark, tmp_path):
+    rows = [
+        {"run_date": "2026-08-03", "portfolios": [portfolio("P1", [position("abc"), position("zz")]), portfolio("P2", []), {}]},
+        {"run_date": None, "portfolios": [portfolio("P1", [position("abc")])] * 2},
+        {"run_date": "2026-08-03", "portfolios": []},
+    ]
+    for i, row in enumerate(rows):
+        put(f"{tmp_path}/documents/dt=2026-08-03/{i}.json", json.dumps(row, indent=1))
+    documents = readers.read_portfolio_json(spark, f"{tmp_path}/documents", [DAY])
+    for _ in range(2):  # replaced, not added
+        write_portfolio_lines(documents, f"{tmp_path}/lines")
+    lines = readers.read_portfolio_lines(spark, f"{tmp_path}/lines", [DAY])
+
+    def positions(df):
+        return sorted(map(str, explode_positions(df.select("run_date", "portfolios", "dt")).collect()))
+
+    assert positions(lines) == positions(documents) and len(positions(lines)) == 7
+    put(f"{tmp_path}/bad/dt=2026-08-03/x.json", "no json\n{}\n")
+    assert [tuple(r) for r in readers.read_portfolio_lines(spark, f"{tmp_path}/bad").collect()] == [(None, None, DAY)] * 2
+
+
+def test_portfolio_lines_are_split_over_tasks(spark, tmp_path):
+    many = json.dumps(portfolio("P", [position("abc")] * 50) | {"run_date": "2026-08-03"})
+    put(f"{tmp_path}/lines/dt=2026-08-03/x.json", (many + "\n") * 400)
+    put(f"{tmp_path}/documents/dt=2026-08-03/x.json", json.dumps({"run_date": "2026-08-03", "portfolios": [portfolio("P", [position("abc")] * 50)] * 400}))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        assert readers.read_portfolio_lines(spark, f"{tmp_path}/lines").rdd.getNumPartitions() > 4
+        assert readers.read_portfolio_json(spark, f"{tmp_path}/documents").rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_pipeline_over_portfolio_lines(spark, root):
+    whole = run(spark, root, [DAY, NEXT])
+    rows = [(d, json.load(open(f"{root}/in/portfolio/dt={d}/portfolio.json"))) for d in (DAY, NEXT)]
+    for day, document in rows:
+        os.remove(f"{root}/in/portfolio/dt={day}/portfolio.json")
+        put(f"{root}/in/portfolio/dt={day}/lines.json",
+            "".join(json.dumps({"run_date": document["run_date"]} | p) + "\n" for p in document["portfolios"]))
+    assert run(spark, root, [DAY, NEXT], portfolio_form="lines") == whole
+
+
+def test_arrivals_bring_up_complete_dates(spark, root, tmp_path):
+    job = DailyJob(f"{root}/in", f"{root}/out", f"{root}/wh", "t", max_reject_rate=0.3)
+    os.rename(f"{root}/in/portfolio/dt={NEXT}", f"{root}/held")
+    assert complete_dates(spark, job.in_root, [NEXT, DAY, DAY]) == [DAY]
+    run_on_arrival(spark, job, f"{root}/checkpoint")
+    assert not wh.read_load_log(spark, job.warehouse).count()  # the one complete date fails the gate
+    assert readers.read_metrics(spark, f"{root}/out/metrics", [DAY]).first()["clean_trade_count"] == 3
+    # A file in a folder below its date completes the next one.
+    os.makedirs(f"{root}/in/portfolio/dt={NEXT}")
+    os.rename(f"{root}/held", f"{root}/in/portfolio/dt={NEXT}/file=a")
+    run_on_arrival(spark, job, f"{root}/checkpoint")
+    run_on_arrival(spark, job, f"{root}/checkpoint")  # nothing new
+    log = wh.read_load_log(spark, job.warehouse).collect()
+    assert {(r["run_date"], r["airflow_run_id"]) for r in log} == {(NEXT, "t-1")} and len(log) == 4
+    # Late messages repair the first date; all of it is done again.
+    put(f"{root}/in/trades/dt={DAY}/late.fix",
+        "".join(message(t11=f"L{i}", t60="20260803-11:00:00") + "\n" for i in range(5)))
+    run_on_arrival(spark, job, f"{root}/checkpoint")
+    held = wh.read_table(spark, job.warehouse, "processed_trades").groupBy("trade_date").count().collect()
+    assert {r["trade_date"]: r["count"] for r in held} == {DAY: 8, NEXT: 1}
+
+
+def test_a_batch_run_again_changes_nothing(spark, root):
+    job = DailyJob(f"{root}/in", f"{root}/out", f"{root}/wh", "t", max_reject_rate=0.5)
+    arrived = spark.createDataFrame([("trades", DAY), ("trades", DAY), ("portfolio", NEXT)], "source_name string, run_date date")
+    assert run_batch(spark, job, arrived, 7) == [DAY, NEXT]
+    commits = {name: wh.table_snapshot(spark, job.warehouse, name) for name in S.TABLES}
+    assert run_batch(spark, job, arrived, 7) == [DAY, NEXT]
+    assert {name: wh.table_snapshot(spark, job.warehouse, name) for name in S.TABLES} == commits
+    assert wh.read_load_log(spark, job.warehouse).count() == 8
+    assert run_batch(spark, job, arrived.where("false"), 8) == []
