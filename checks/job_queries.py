@@ -577,8 +577,12 @@ def stream_pipeline(spark, sf_dir):
     job = DailyJob(f"{root}/in", f"{root}/out", f"{root}/wh", "feeds", _STREAM_RATE, MAX_UNRESOLVABLE)
 
     def arrive(source, day):
-        files = spark.read.option("recursiveFileLookup", True).text(f"{feeds}/{source}/dt={day}", wholetext=source != S.TRADES)
-        files.write.text(f"{root}/in/{source}/dt={day}/sent", lineSep="\n")
+        # Headers and documents belong to their file, so each is sent as a file of its own.
+        whole = source != S.TRADES
+        lines = spark.read.option("recursiveFileLookup", True).text(f"{feeds}/{source}/dt={day}", wholetext=whole)
+        sent = lines.select("value", F.xxhash64("_metadata.file_path").alias("file")) if whole else lines
+        writer = sent.write.partitionBy("file") if whole else sent.write
+        writer.text(f"{root}/in/{source}/dt={day}")
 
     for day in (DAY, NEXT):
         for source in S.SOURCES:
