@@ -537,6 +537,32 @@ def marts_incremental(spark, sf_dir):
     return mart.withColumn("rebuilt", F.lit(",".join(map(str, rebuilt))))
 
 
+@query("monitoring_maintained", expect(f"""
+    SELECT t.*, r.* EXCLUDE (day), '2026-08-03' AS recomputed
+    FROM (SELECT trade_date AS metric_date, count(*) AS processed_trade_count, count(*) FILTER (side = 'BUY') AS buy_trade_count,
+        count(*) FILTER (pnl_unresolvable) AS unresolvable_trade_count, count(DISTINCT portfolio_id) AS portfolio_count,
+        count(DISTINCT symbol) AS symbol_count, CAST(coalesce(sum(realized_pnl_usd), 0) AS DECIMAL(24,4)) AS total_realized_pnl_usd
+      FROM all_trades WHERE side = 'BUY' OR trade_date > (SELECT min(run_date) FROM typed_trades) GROUP BY 1) t
+    JOIN (SELECT run_date AS day, CAST(n AS BIGINT) AS total_rejected_count,
+        CAST(CASE WHEN run_date = (SELECT min(run_date) FROM typed_trades) THEN (SELECT count(*) FROM judged_trades WHERE rule IS NOT NULL)
+          ELSE (SELECT count(*) FROM judged_trades) - (SELECT count(*) FROM ({LATE_SQL}) l) END AS BIGINT) AS rejected_trade_count
+      FROM ({COUNTS_SQL}) c WHERE table_name = 'rejected_records') r ON r.day = t.metric_date""", _ALL_TRADES), dates="metric_date")
+def monitoring_maintained(spark, sf_dir):
+    """Daily views of a loaded warehouse from kept aggregates, after one date was reloaded with its buys only."""
+    _, warehouse = loaded(spark, sf_dir)
+    pipeline.monitoring_views(spark, warehouse, maintained=True)
+    buys = wh.read_table(spark, warehouse, "processed_trades", [DAY]).where("side = 'BUY'")
+    wh.reload_dates(buys, warehouse, S.TABLES["processed_trades"], [DAY])
+    recomputed = sorted({str(day) for days in catalog.refresh_aggregates(spark, warehouse).values() for day in days})
+    views = pipeline.monitoring_views(spark, warehouse, maintained=True)
+    trades = views["v_daily_trade_metrics"].select(
+        "metric_date", "processed_trade_count", "buy_trade_count", "unresolvable_trade_count", "portfolio_count", "symbol_count",
+        F.col("total_realized_pnl_usd").cast(S.MONEY).alias("total_realized_pnl_usd"),
+    )
+    quality = views["v_daily_quality_metrics"].select("metric_date", "total_rejected_count", "rejected_trade_count")
+    return trades.join(quality, "metric_date").withColumn("recomputed", F.lit(",".join(recomputed)))
+
+
 @query("model_catalog", expect(f"""
     SELECT 'staging' AS table_schema, 'stg_' || table_name AS table_name, CAST(sum(n) AS BIGINT) AS row_count
     FROM ({COUNTS_SQL}) c WHERE table_name <> 'unresolvable_pnl' GROUP BY ALL

@@ -78,12 +78,17 @@ def v_rejections_by_rule(rejected: DataFrame) -> DataFrame:
 
 def v_daily_rejection_metrics(rejected: DataFrame) -> DataFrame:
     """Rejects per day and source, from the few counts per day, source and rule."""
+    return rejection_days(v_rejections_by_rule(rejected))
+
+
+def rejection_days(by_rule: DataFrame) -> DataFrame:
+    """Rejects per day, from counts per day, source and rule."""
     count, source = F.col("rejected_record_count"), F.col("source_name")
 
     def from_source(name: str) -> Column:
         return F.sum(F.when(source == name, count).otherwise(0))
 
-    return v_rejections_by_rule(rejected).groupBy("metric_date").agg(
+    return by_rule.groupBy("metric_date").agg(
         F.sum(count).alias("rejected_record_count"),
         from_source(S.TRADES).alias("rejected_trade_count"),
         from_source(S.MARKET_DATA).alias("rejected_market_count"),
@@ -110,6 +115,16 @@ def v_daily_quality_metrics(
         F.count_if(F.col("source_name") == S.TRADES).alias("rejected_trade_count"),
         F.count("*").alias("total_rejected_count"),
     )
+    return quality_days(accepted, refused, max_reject_rate, max_unresolvable)
+
+
+def quality_days(
+    accepted: DataFrame,
+    refused: DataFrame,
+    max_reject_rate: float = MAX_REJECT_RATE,
+    max_unresolvable: int = MAX_UNRESOLVABLE,
+) -> DataFrame:
+    """Reject rate and gate per day, from a row per day of accepted and of refused counts."""
     counts = [
         "accepted_trade_count",
         "rejected_trade_count",
@@ -158,6 +173,36 @@ def monitoring_views(tables: dict[str, DataFrame], load_log: DataFrame) -> dict[
     }
 
 
+# Aggregate kept by day -> (builder, the table it reads). A day's rows come from rows of that day.
+DAILY_AGGREGATES = {
+    "daily_trades": (v_daily_trade_metrics, "processed_trades"),
+    "daily_rejections": (v_rejections_by_rule, "rejected_records"),
+    "daily_risk": (v_portfolio_risk_summary, "portfolio_pnl"),
+}
+
+
+def views_of_aggregates(kept: dict[str, DataFrame], load_log: DataFrame) -> dict[str, DataFrame]:
+    """The monitoring views from aggregates kept by day; no trade or reject is read again."""
+    by_day = rejection_days(kept["daily_rejections"])
+    accepted = kept["daily_trades"].select(
+        "metric_date",
+        F.col("processed_trade_count").alias("accepted_trade_count"),
+        F.col("unresolvable_trade_count").alias("unresolvable_count"),
+    )
+    refused = by_day.select(
+        "metric_date", "rejected_trade_count", F.col("rejected_record_count").alias("total_rejected_count")
+    )
+    return {
+        "v_pipeline_load_summary": v_pipeline_load_summary(load_log),
+        "v_table_load_metrics": v_table_load_metrics(load_log),
+        "v_daily_trade_metrics": kept["daily_trades"],
+        "v_daily_rejection_metrics": by_day,
+        "v_daily_quality_metrics": quality_days(accepted, refused),
+        "v_portfolio_risk_summary": kept["daily_risk"],
+        "v_rejections_by_rule": kept["daily_rejections"],
+    }
+
+
 def on_run_date(df: DataFrame, date_column: str, run_date: RunDate) -> DataFrame:
     return df.where(F.col(date_column) == run_date_column(run_date))
 

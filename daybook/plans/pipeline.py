@@ -203,11 +203,21 @@ def contract_report(spark: SparkSession, warehouse: str) -> DataFrame:
     return union_all_by_name([check_table(df, S.TABLES[name]) for name, df in tables.items()])
 
 
-def monitoring_views(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    """The monitoring views over a warehouse, also registered as temp views."""
-    views = monitoring.monitoring_views(
-        wh.read_tables(spark, warehouse), wh.read_load_log(spark, warehouse)
-    )
+def monitoring_views(
+    spark: SparkSession, warehouse: str, maintained: bool = False
+) -> dict[str, DataFrame]:
+    """The monitoring views over a warehouse, also registered as temp views.
+
+    With ``maintained`` they come from aggregates kept by day, which are first
+    brought up to date for the dates that changed.
+    """
+    log = wh.read_load_log(spark, warehouse)
+    if maintained:
+        catalog.refresh_aggregates(spark, warehouse)
+        kept = {name: catalog.read_aggregate(spark, warehouse, name) for name in monitoring.DAILY_AGGREGATES}
+        views = monitoring.views_of_aggregates(kept, log)
+    else:
+        views = monitoring.monitoring_views(wh.read_tables(spark, warehouse), log)
     for name, view in views.items():
         view.createOrReplaceTempView(name)
     return views

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +10,12 @@ from pyspark.sql import functions as F
 
 from daybook import schemas as S
 from daybook.plans.models import MART_DATES, MARTS, STAGING
+from daybook.plans.monitoring import DAILY_AGGREGATES
 from daybook.sources import snapshots
 from daybook.sources.snapshots import Snapshot
 from daybook.sources.warehouse import read_table, table_snapshot
 
-STAGING_SCHEMA, MART_SCHEMA = "staging", "marts"
+STAGING_SCHEMA, MART_SCHEMA, AGGREGATE_SCHEMA = "staging", "marts", "aggregates"
 
 
 def source(
@@ -68,19 +70,60 @@ def build_marts(spark: SparkSession, warehouse: str, rebuild: bool = False) -> d
     """
     done = {}
     for name, (build, model) in MARTS.items():
-        path, date_column = mart_path(warehouse, name), MART_DATES[name]
         table = table_snapshot(spark, warehouse, STAGING[model][1])
-        mart = snapshots.snapshot(spark, path)
-        days = sorted({*table.dates, *mart.dates}) if rebuild else outdated(table, mart)
-        if days:
-            versions = {day: table.dates[day].version for day in days if table.rows(day)}
-            rows = build(staged(spark, warehouse, model, days)).hint("rebalance", date_column)
-            snapshots.replace_dates(rows, path, date_column, days, versions)
+        done[name] = follow(
+            spark, mart_path(warehouse, name), MART_DATES[name], table,
+            lambda days: build(staged(spark, warehouse, model, days)), rebuild,
+        )
         read_mart(spark, warehouse, name).createOrReplaceTempView(view_name(name))
-        done[name] = days
     return done
 
 
+def follow(
+    spark: SparkSession,
+    path: str,
+    date_column: str,
+    table: Snapshot,
+    rows_of: Callable[[list[date]], DataFrame],
+    rebuild: bool = False,
+) -> list[date]:
+    """Bring a stored table up to date with the one it is built from; returns the dates rebuilt."""
+    stored = snapshots.snapshot(spark, path)
+    days = sorted({*table.dates, *stored.dates}) if rebuild else outdated(table, stored)
+    if days:
+        versions = {day: table.dates[day].version for day in days if table.rows(day)}
+        rows = rows_of(days).hint("rebalance", date_column)
+        snapshots.replace_dates(rows, path, date_column, days, versions)
+    return days
+
+
+def aggregate_path(warehouse: str, name: str) -> str:
+    return f"{warehouse}/{AGGREGATE_SCHEMA}/{name}"
+
+
+def refresh_aggregates(spark: SparkSession, warehouse: str, rebuild: bool = False) -> dict[str, list[date]]:
+    """Bring the aggregates kept by day up to date; returns the dates recomputed of each.
+
+    Distinct counts are exact: a day is counted anew as a whole, and no
+    count spans days. Dates whose table version is the same are not read.
+    """
+    return {
+        name: follow(
+            spark, aggregate_path(warehouse, name), "metric_date", table_snapshot(spark, warehouse, table),
+            lambda days: build(source(spark, warehouse, table, days)), rebuild,
+        )
+        for name, (build, table) in DAILY_AGGREGATES.items()
+    }
+
+
+def read_aggregate(
+    spark: SparkSession, warehouse: str, name: str, run_dates: list[date | str] | None = None
+) -> DataFrame:
+    build, table = DAILY_AGGREGATES[name]
+    schema = build(spark.createDataFrame([], S.table_schema(S.TABLES[table]))).schema
+    return snapshots.read_dates(spark, aggregate_path(warehouse, name), schema, "metric_date", run_dates)
+
+
 def read_mart(
     spark: SparkSession, warehouse: str, name: str, run_dates: list[date | str] | None = None
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from daybook import schemas as S
 from daybook.operators.identity import COPIES_AT_ONCE, with_content_ids
+from daybook.plans import pipeline
 from daybook.sources import catalog, snapshots, warehouse as wh
 
 DAY = date(2026, 8, 3)
@@ -176,6 +177,29 @@ def test_marts_follow_changed_dates_only(spark, tmp_path):
     assert len(only.inputFiles()) == 1
 
 
+def test_kept_aggregates_equal_views_over_the_tables(spark, tmp_path):
+    root, contract = str(tmp_path), S.TABLES["processed_trades"]
+    wh.create_tables(spark, root)
+
+    def same():
+        plain, kept = (pipeline.monitoring_views(spark, root, maintained=m) for m in (False, True))
+        assert plain.keys() == kept.keys()
+        for name in plain:
+            assert kept[name].columns == plain[name].columns
+            assert sorted(map(str, kept[name].collect())) == sorted(map(str, plain[name].collect())), name
+        return kept
+
+    same()  # empty tables
+    wh.reload_dates(trades(spark, *[(f"o{i}", DAYS[i % 3], i) for i in range(9)]), root, contract, DAYS[:3])
+    assert same()["v_daily_quality_metrics"].count() == 3
+    assert catalog.refresh_aggregates(spark, root) == {"daily_trades": [], "daily_rejections": [], "daily_risk": []}
+    wh.reload_dates(trades(spark, ("n", DAYS[1], 100)), root, contract, [DAYS[1]])
+    wh.reload_dates(trades(spark), root, contract, [DAYS[2]])
+    assert catalog.refresh_aggregates(spark, root)["daily_trades"] == DAYS[1:3]
+    assert same()["v_daily_trade_metrics"].count() == 2
+    assert catalog.refresh_aggregates(spark, root, rebuild=True)["daily_trades"] == DAYS[:2]
+
+
 def test_content_ids(spark):
     n = 2 * COPIES_AT_ONCE + 5
     rows = [("hot", None, DAY)] * n + [("hot", "x", DAY), ("a", None, None), ("a", None, None), (None, None, None)]
