@@ -7,12 +7,14 @@ import os
 
 from daybook.functions.dates import parse_run_date, resolve_run_date
 from daybook.plans import pipeline
+from daybook.sources.readers import PORTFOLIO_FORMS
 from daybook.sources.session import create_session
+from daybook.streaming.jobs import DailyJob, run_on_arrival
 
 
 def parse_args(args: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="daybook", description=__doc__)
-    parser.add_argument("job", choices=["run", "load", "models"])
+    parser.add_argument("job", choices=["run", "load", "models", "stream", "contracts", "freshness", "views"])
     parser.add_argument("--run-date", type=parse_run_date, nargs="+", default=[],
                         help="one or more dates, YYYY-MM-DD; without it the logical date")
     parser.add_argument("--logical-date", type=parse_run_date, help="the scheduler's date of this run")
@@ -20,6 +22,10 @@ def parse_args(args: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--out-root", help="folder or bucket of the outputs")
     parser.add_argument("--warehouse", help="folder or bucket of the warehouse tables")
     parser.add_argument("--run-id", default="manual")
+    parser.add_argument("--checkpoint", help="folder that remembers the files a stream has seen")
+    parser.add_argument("--portfolio-form", choices=list(PORTFOLIO_FORMS), default="documents")
+    parser.add_argument("--quarantine", action="store_true",
+                        help="set rows aside that break a table's contract, do not fail the load")
     parser.add_argument("--s3-endpoint", default=os.getenv("S3_ENDPOINT"))
     parser.add_argument("--s3-region", default=os.getenv("S3_REGION", "us-east-1"))
     parser.add_argument("--s3-access-key", default=os.getenv("S3_ACCESS_KEY"))
@@ -31,6 +37,10 @@ def parse_args(args: list[str] | None = None) -> argparse.Namespace:
         "run": ["run_date", "in_root", "out_root"],
         "load": ["run_date", "out_root", "warehouse"],
         "models": ["warehouse"],
+        "stream": ["in_root", "out_root", "warehouse", "checkpoint"],
+        "contracts": ["warehouse"],
+        "freshness": ["warehouse"],
+        "views": ["warehouse"],
     }
     absent = [name for name in required[options.job] if not getattr(options, name)]
     if absent:
@@ -56,15 +66,35 @@ def main(args: list[str] | None = None) -> None:
     options = parse_args(args)
     spark = create_session(f"daybook-{options.job}", object_store(options))
     if options.job == "run":
-        metrics = pipeline.run_pipeline(spark, options.in_root, options.out_root, options.run_date)
+        metrics = pipeline.run_pipeline(
+            spark, options.in_root, options.out_root, options.run_date, portfolio_form=options.portfolio_form
+        )
         metrics.show(truncate=False, vertical=True)
     elif options.job == "load":
-        pipeline.load_warehouse(spark, options.out_root, options.warehouse, options.run_date, options.run_id)
+        pipeline.load_warehouse(
+            spark, options.out_root, options.warehouse, options.run_date, options.run_id,
+            quarantine=options.quarantine,
+        )
+    elif options.job == "stream":
+        job = DailyJob(
+            options.in_root, options.out_root, options.warehouse, options.run_id,
+            portfolio_form=options.portfolio_form,
+        )
+        run_on_arrival(spark, job, options.checkpoint)
+    elif options.job == "views":
+        for name, view in pipeline.monitoring_views(spark, options.warehouse, maintained=True).items():
+            print(name)
+            view.show(truncate=False)
     else:
-        checks = pipeline.build_models(spark, options.warehouse)
-        failed = checks.where("status <> 'pass'").collect()
+        checks = {
+            "models": pipeline.build_models,
+            "contracts": pipeline.contract_report,
+            "freshness": pipeline.freshness_report,
+        }[options.job](spark, options.warehouse)
+        # A stale table warns before it is an error.
+        failed = checks.where("status not in ('pass', 'warn')").collect()
         if failed:
-            raise SystemExit("Model checks failed:\n" + "\n".join(str(row) for row in failed))
+            raise SystemExit(f"Checks of {options.job} failed:\n" + "\n".join(str(row) for row in failed))
 
 
 if __name__ == "__main__":

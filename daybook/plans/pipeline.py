@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from daybook import schemas as S
 from daybook.functions.dates import parse_run_date, parse_run_dates
 from daybook.functions.rules import valid_rows
-from daybook.operators.contracts import check_models, check_table
+from daybook.operators.contracts import check_freshness, check_models, check_table
 from daybook.operators.gate import MAX_REJECT_RATE, MAX_UNRESOLVABLE, quality_gate, require_passed
 from daybook.operators.market import market_rejects, tag_market, valid_prices
 from daybook.operators.metrics import build_metrics, run_totals
@@ -203,6 +203,14 @@ def contract_report(spark: SparkSession, warehouse: str) -> DataFrame:
     return union_all_by_name([check_table(df, S.TABLES[name]) for name, df in tables.items()])
 
 
+def freshness_report(
+    spark: SparkSession, warehouse: str, as_of: datetime | None = None
+) -> DataFrame:
+    """Age of the newest row of every warehouse table."""
+    tables = wh.read_tables(spark, warehouse)
+    return union_all_by_name([check_freshness(df, name, as_of=as_of) for name, df in tables.items()])
+
+
 def monitoring_views(
     spark: SparkSession, warehouse: str, maintained: bool = False
 ) -> dict[str, DataFrame]:
