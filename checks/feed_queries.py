@@ -15,13 +15,15 @@ from daybook.operators.market import market_rejects, process_market, tag_market,
 from daybook.operators.metrics import build_metrics, metrics_json, run_totals, total_realized_pnl
 from daybook.operators.portfolio import (
     explode_positions,
+    judge_positions,
     portfolio_rejects,
     portfolio_rollup,
+    price_positions,
     process_portfolios,
     tag_positions,
     value_positions,
 )
-from daybook.operators.prices import price_lookup
+from daybook.operators.prices import fits_broadcast, price_lookup
 from daybook.operators.rejects import (
     rejection_counts,
     rejection_rollup,
@@ -293,9 +295,17 @@ def staged(spark, sf_dir, variant=X.FIXED):
     market = stage(tag_market(X.market(spark, sf_dir, variant), day), f"{work}/market")
     quotes = valid_prices(half(market, rejected=False))
     messages = X.messages(spark, sf_dir, variant)
-    trades = stage(tag_trades(messages, day, tags=TRADE_TAGS), f"{work}/trades")
+    tagged = tag_trades(messages, day, tags=TRADE_TAGS)
+    # A valid message is fully parsed; only rejects need their text again.
+    message = F.when(F.col("rejection_rule").isNotNull(), F.col("raw_record"))
+    trades = stage(tagged.withColumn("raw_record", message), f"{work}/trades")
     documents = X.documents(spark, sf_dir, variant)
-    positions = stage(tag_positions(documents, day, quotes), f"{work}/positions")
+    small = fits_broadcast(price_lookup(quotes))
+    judged = judge_positions(documents, day)
+    if not small:
+        # The shuffled join reads its rows twice; spare the documents a second parse.
+        judged = stage(judged, f"{work}/documents").drop("is_rejected")
+    positions = stage(price_positions(judged, quotes, small, in_files=not small), f"{work}/positions")
     valid = valid_rows(half(trades, rejected=False))
     rejected = union_all_by_name(
         [
@@ -305,7 +315,7 @@ def staged(spark, sf_dir, variant=X.FIXED):
         ]
     )
     portfolio = portfolio_rollup(value_positions(half(positions, rejected=False)))
-    return valid, trade_pnl(valid, quotes)[0], rejected, portfolio
+    return valid, trade_pnl(valid, quotes, small, in_files=True)[0], rejected, portfolio
 
 
 def totals(spark, sf_dir, variant=X.FIXED):

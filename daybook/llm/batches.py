@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from daybook.sources.session import work_folder
+from daybook.sources.session import stored  # noqa: F401
 
 SLICE_BYTES = 4_000_000
 KNOWN_WORDS = 300_000
@@ -29,7 +30,8 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
     A NULL is read as empty. A row longer than ``size`` is a part of its own.
     """
     texts = batch.column(column).cast(pa.binary())
-    ends = np.cumsum(texts.fill_null(b"").to_pandas().map(len).to_numpy(dtype=np.int64)) if len(texts) else []
+    # Lengths are read from the offsets: no more than a part's texts become Python objects at a time.
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(texts):
         base = ends[start - 1] if start else 0
@@ -116,11 +118,3 @@ def minimizers(order: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, n
 def _by_place(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.concatenate(([0], np.flatnonzero(np.diff(place)) + 1))
     return place[first], first, np.concatenate((first[1:], [len(place)])) - 1
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df``, written to a work table and read back: cuts the lineage, survives lost executors."""
-    spark: SparkSession = df.sparkSession
-    path = work_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.sources.session import stored
+
 # A price row is some 150 bytes in memory, so this bounds the broadcast at about 75 MB.
 BROADCAST_ROWS = 500_000
 BROADCAST_SYMBOL_BYTES = 32 * 1024 * 1024
@@ -12,6 +14,9 @@ BROADCAST_SYMBOL_BYTES = 32 * 1024 * 1024
 # Above this many rows of one symbol and day, the shuffled join splits the key.
 ROWS_PER_SALT = 1_000_000
 
+# Keys are first counted by this many hashes, so that rare ones stay out of the shuffle.
+KEY_BUCKETS = 65_536
+
 
 def price_lookup(market: DataFrame) -> DataFrame:
     """The five columns of valid market rows that joins need."""
@@ -45,6 +50,7 @@ def attach_prices(
     eligible: Column | None = None,
     small: bool | None = None,
     rows_per_salt: int = ROWS_PER_SALT,
+    in_files: bool = False,
 ) -> DataFrame:
     """LEFT join ``rows`` to the price with the same symbol on the same day.
 
@@ -52,10 +58,12 @@ def attach_prices(
     which ``eligible`` is not true are kept once, without a price. A price
     table measured as small is broadcast (pass ``small`` where the caller knows
     already). Otherwise both sides are shuffled, with frequent keys split over
-    as many salts as their row count asks for.
+    as many salts as their row count asks for; ``rows`` are then read more than
+    once and written first, unless they come straight from files (``in_files``).
     """
     prices = price_lookup(market)
     if small is None:
+        prices = stored(prices, "prices")
         small = fits_broadcast(prices)
 
     matchable = F.lit(True) if eligible is None else eligible
@@ -71,6 +79,8 @@ def attach_prices(
     if small:
         joined = keyed.join(F.broadcast(prices), same_key, "left")
     else:
+        if not in_files:
+            keyed = stored(keyed, "unpriced")
         keyed, prices = _salt_frequent_keys(keyed, prices, rows.columns, rows_per_salt)
         joined = keyed.join(
             prices, same_key & (F.col("key_salt") == F.col("price_salt")), "left"
@@ -82,14 +92,24 @@ def _frequent_keys(keyed: DataFrame, rows_per_salt: int, max_keys: int = BROADCA
     """(hot_symbol, hot_day, salts) of every key with more rows than a salt takes.
 
     The keys are counted by the doublings of ``rows_per_salt`` they hold; it is
-    doubled until at most ``max_keys`` keys remain. None of these is left out.
+    doubled until at most ``max_keys`` keys remain. None of these is left out:
+    a key with too many rows has a hash with too many, and keys of other hashes
+    are not counted one by one.
     """
+    bucket = F.pmod(F.xxhash64("hot_symbol", "hot_day"), F.lit(KEY_BUCKETS))
+    keys = (
+        keyed.select(F.col("key_symbol").alias("hot_symbol"), F.col("key_day").alias("hot_day"))
+        .where(F.col("hot_symbol").isNotNull() & F.col("hot_day").isNotNull())
+        .withColumn("bucket", bucket)
+    )
+    full = keys.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > rows_per_salt).select("bucket")
     counts = (
-        keyed.where(F.col("key_symbol").isNotNull() & F.col("key_day").isNotNull())
-        .groupBy(F.col("key_symbol").alias("hot_symbol"), F.col("key_day").alias("hot_day"))
+        keys.join(F.broadcast(full), "bucket")
+        .groupBy("hot_symbol", "hot_day")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > rows_per_salt)
     )
+    counts = stored(counts, "frequent-keys")
     doublings = F.floor(F.log2((F.col("n") - 1) / rows_per_salt)).alias("doublings")
     sizes = {r["doublings"]: r["count"] for r in counts.groupBy(doublings).count().collect()}
     steps = 0

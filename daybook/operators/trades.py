@@ -143,13 +143,17 @@ def process_trades(
     return valid_rows(tagged), trade_rejects(tagged, rejected_at)
 
 
-def price_trades(trades: DataFrame, market: DataFrame, small: bool | None = None) -> DataFrame:
+def price_trades(
+    trades: DataFrame, market: DataFrame, small: bool | None = None, in_files: bool = False
+) -> DataFrame:
     """Valid trades with their close price and realized P&L.
 
     P&L compares the close price with the average cost; the trade price is
     carried but plays no part. Without a usable price the P&L is NULL.
     """
-    priced = attach_prices(trades, market, symbol="symbol", day="trade_date", small=small)
+    priced = attach_prices(
+        trades, market, symbol="symbol", day="trade_date", small=small, in_files=in_files
+    )
     signed_gain = (
         (F.col("close_price") - F.col("average_cost"))
         * F.col("quantity")
@@ -182,8 +186,8 @@ def unresolvable_trades(clean: DataFrame) -> DataFrame:
 
 
 def trade_pnl(
-    trades: DataFrame, market: DataFrame, small: bool | None = None
+    trades: DataFrame, market: DataFrame, small: bool | None = None, in_files: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Valid trades and prices -> (clean trades, unresolvable trades)."""
-    clean = price_trades(trades, market, small)
+    clean = price_trades(trades, market, small, in_files)
     return clean, unresolvable_trades(clean)

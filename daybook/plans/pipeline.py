@@ -130,9 +130,9 @@ def _write_outputs(
     if not small:
         # The shuffled join reads its rows twice; spare the documents a second parse.
         judged = stage(judged, f"{work}/documents").drop("is_rejected")
-    positions = stage(price_positions(judged, prices, small), f"{work}/portfolio")
+    positions = stage(price_positions(judged, prices, small, in_files=not small), f"{work}/portfolio")
 
-    clean = price_trades(valid_rows(half(trades, rejected=False)), prices, small)
+    clean = price_trades(valid_rows(half(trades, rejected=False)), prices, small, in_files=True)
     if not small:
         clean = gather_dates(clean, "trade_date")
     outputs = {name: f"{out_root}/{table.output_path}" for name, table in S.TABLES.items()}
