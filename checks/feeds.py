@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daybook import schemas as S
@@ -177,9 +177,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table for a feed; line items, which come as one row group, are dealt out by their key."""
+    """A test table for a feed; line items, which come as one row group, are dealt out by the key they are joined on."""
     df = table(spark, sf_dir, name)
-    return df.repartition("l_orderkey", "l_linenumber") if name == "lineitem" else df
+    return df.repartition("l_orderkey") if name == "lineitem" else df
 
 
 def feed(
@@ -188,7 +188,9 @@ def feed(
     """One feed as a Spark DataFrame of typed columns (or message text)."""
     sql = with_clause(needed(name, ctes(variant, portfolio_prices))) + f"SELECT * FROM {name}"
     used = [t for t in TABLES if "{" + t + "}" in sql]
-    return spark.sql(sql, **{t: spread_table(spark, sf_dir, t) for t in used})
+    # Days with a price are made distinct where the line items are read, without dealing these out first.
+    read = spread_table if "{orders}" in sql else table
+    return spark.sql(sql, **{t: read(spark, sf_dir, t) for t in used})
 
 
 def messages(spark: SparkSession, sf_dir: str, variant: str = FIXED) -> DataFrame:
@@ -218,17 +220,19 @@ def market(
     return columns.select(row.alias("row"), "dt").select("row.*", "dt")
 
 
-# A document holds at most 256 customers times 4,096 parts: customer and part
-# together are a key of the feed, so its size does not grow with the tables.
-_CUSTOMERS_PER_DOCUMENT, _PARTS_PER_DOCUMENT = 256, 4096
+# A document holds at most 2,048 customers times 512 positions of each: its size does not
+# grow with the tables, and their number grows with the positions, not with customers times parts.
+_CUSTOMERS_PER_DOCUMENT, _POSITIONS_PER_DOCUMENT = 2048, 512
 
 
 def document_lines(spark: SparkSession, sf_dir: str, variant: str = FIXED) -> DataFrame:
     """Nested JSON documents: (dt, file, document), one document per row."""
+    number = F.row_number().over(Window.partitionBy("c_custkey").orderBy("l_partkey"))
+    held = F.when(F.col("l_partkey").isNotNull(), number).otherwise(1)
     rows = feed(spark, sf_dir, "feed_positions", variant).withColumns(
         {
             "customers": F.floor(F.col("c_custkey") / _CUSTOMERS_PER_DOCUMENT),
-            "parts": F.floor(F.coalesce("l_partkey", F.lit(0)) / _PARTS_PER_DOCUMENT),
+            "parts": F.floor((held - 1) / _POSITIONS_PER_DOCUMENT),
         }
     )
     document_key = ["dt", "source_run_date", "customers", "parts"]
@@ -266,22 +270,31 @@ def documents(spark: SparkSession, sf_dir: str, variant: str = FIXED) -> DataFra
     ).select("d.*", "dt")
 
 
-def write_feeds(spark: SparkSession, sf_dir: str, root: str, variant: str = FIXED) -> None:
-    """The three feeds as files under ``root``, laid out by date."""
-    write_messages(spark, sf_dir, f"{root}/trades", variant)
-    write_market(spark, sf_dir, f"{root}/market_data", variant)
-    write_documents(spark, sf_dir, f"{root}/portfolio", variant)
+def write_feeds(
+    spark: SparkSession, sf_dir: str, root: str, variant: str = FIXED, days: int = 1
+) -> None:
+    """The three feeds as files under ``root``, laid out by date; the same files come again on each of ``days``."""
+    write_messages(spark, sf_dir, f"{root}/trades", variant, days)
+    write_market(spark, sf_dir, f"{root}/market_data", variant, days)
+    write_documents(spark, sf_dir, f"{root}/portfolio", variant, days)
 
 
-def write_messages(spark, sf_dir, root, variant=FIXED) -> None:
-    messages(spark, sf_dir, variant).write.partitionBy("dt").text(root)
+def _on_days(rows: DataFrame, days: int) -> DataFrame:
+    """The rows again on each of the next days, so that a feed is derived once for all of them."""
+    if days == 1:
+        return rows
+    return rows.withColumn("dt", F.explode(F.array(*[F.date_add("dt", n) for n in range(days)])))
 
 
-def write_market(spark, sf_dir, root, variant=FIXED) -> None:
-    rows = market_columns(spark, sf_dir, variant)
+def write_messages(spark, sf_dir, root, variant=FIXED, days=1) -> None:
+    _on_days(messages(spark, sf_dir, variant), days).write.partitionBy("dt").text(root)
+
+
+def write_market(spark, sf_dir, root, variant=FIXED, days=1) -> None:
+    rows = _on_days(market_columns(spark, sf_dir, variant), days)
     rows.write.options(header=True, **CSV_SPACES).partitionBy("dt").csv(root)
 
 
-def write_documents(spark, sf_dir, root, variant=FIXED) -> None:
-    lines = document_lines(spark, sf_dir, variant)
+def write_documents(spark, sf_dir, root, variant=FIXED, days=1) -> None:
+    lines = _on_days(document_lines(spark, sf_dir, variant), days)
     lines.write.partitionBy("dt", "file").text(root)

@@ -276,13 +276,7 @@ def run_job(spark, sf_dir, days=(DAY,)):
     On a second day the same files arrive again: of their rows only those dated one day late are good then.
     """
     root = work_folder(spark, "job")
-    X.write_feeds(spark, sf_dir, f"{root}/in")
-    if NEXT in days:
-        X.messages(spark, sf_dir).withColumn("dt", F.date_add("dt", 1)).write.mode("append").partitionBy("dt").text(f"{root}/in/trades")
-        prices = X.market_columns(spark, sf_dir).withColumn("dt", F.date_add("dt", 1))
-        prices.write.mode("append").options(header=True, **X.CSV_SPACES).partitionBy("dt").csv(f"{root}/in/market_data")
-        documents = X.document_lines(spark, sf_dir).withColumn("dt", F.date_add("dt", 1))
-        documents.write.mode("append").partitionBy("dt", "file").text(f"{root}/in/portfolio")
+    X.write_feeds(spark, sf_dir, f"{root}/in", days=2 if NEXT in days else 1)
     metrics = pipeline.run_pipeline(
         spark, f"{root}/in", f"{root}/out", list(days),
         max_reject_rate=MAX_RATE, max_unresolvable=MAX_UNRESOLVABLE,
