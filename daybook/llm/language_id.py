@@ -38,8 +38,8 @@ SHARD_CELLS = 4_000_000
 GROUP_SLICES = 8
 #: A factor below 2**30, so that its product with a 32-bit pair of characters is a 64-bit number.
 PAIR_FACTOR = 0x2545F491
-#: Labelled rows that set the rejection levels.
-CALIBRATION_ROWS = 2_000
+#: Different values of one language that the driver takes at once, and intervals that more of them are dealt into.
+QUANTILE_VALUES, QUANTILE_PARTS = 2_000, 500
 REJECTION_QUANTILE, REJECTION_SLACK = 0.999, 1.15
 SCORE_CHARACTERS = 40
 UNKNOWN = "und"
@@ -262,12 +262,53 @@ def least_hashed(rows: DataFrame, most: int) -> DataFrame:
     return rows.orderBy(*order).limit(most)
 
 
-def fit(labelled: DataFrame, lang_column: str = "lang", text_column: str = "text", cells: int = SHARD_CELLS, calibration_rows: int = CALIBRATION_ROWS) -> Model:
+def quantiles(rows: DataFrame, share: float, most: int = QUANTILE_VALUES) -> dict[str, float]:
+    """Per ``lang`` the exact quantile of ``bits`` (finite, not NULL) over all rows, interpolated as numpy does.
+
+    Values are counted where they lie. An interval that holds the wanted ranks is cut into parts,
+    whose counts alone come to the driver, until few different values are left in it.
+    """
+    counts = stored(rows.groupBy("lang", "bits").agg(F.count("*").alias("n")), "language-bits")
+    ranges = counts.groupBy("lang").agg(F.sum("n").alias("n"), F.min("bits").alias("low"), F.max("bits").alias("high"), F.count("*").alias("values"))
+    out, open_ranks = {}, {}
+    for r in ranges.collect():
+        at = share * (r["n"] - 1)
+        for rank in {int(np.floor(at)), int(np.ceil(at))}:
+            open_ranks[r["lang"], rank] = (r["low"], r["high"], 0, r["values"])
+        out[r["lang"]] = at
+    found: dict[tuple[str, int], float] = {}
+    while open_ranks:
+        for (lang, rank), (low, high, before, values) in list(open_ranks.items()):
+            inside = counts.where((F.col("lang") == lang) & F.col("bits").between(low, high))
+            if values <= most or low == high:
+                for value, n in sorted((r["bits"], r["n"]) for r in inside.select("bits", "n").collect()):
+                    before += n
+                    if before > rank:
+                        found[lang, rank] = value
+                        break
+                del open_ranks[lang, rank]
+                continue
+            part = F.least(F.floor((F.col("bits") - low) / (high - low) * QUANTILE_PARTS), F.lit(QUANTILE_PARTS - 1))
+            parts = inside.groupBy(part.alias("part")).agg(
+                F.sum("n").alias("n"), F.min("bits").alias("low"), F.max("bits").alias("high"), F.count("*").alias("values")
+            )
+            for r in sorted(parts.collect(), key=lambda r: r["part"]):
+                if before + r["n"] > rank:
+                    open_ranks[lang, rank] = (r["low"], r["high"], before, r["values"])
+                    break
+                before += r["n"]
+    for lang, at in out.items():
+        low, high = found[lang, int(np.floor(at))], found[lang, int(np.ceil(at))]
+        out[lang] = float(np.quantile([low, high], at - np.floor(at)))
+    return out
+
+
+def fit(labelled: DataFrame, lang_column: str = "lang", text_column: str = "text", cells: int = SHARD_CELLS) -> Model:
     """Models from all rows with a language and a text, with all their 4-grams.
 
     Shards of about ``cells`` 4-grams times languages are built by executors; to the
     driver come sums by language, counts of character pairs, and one shard at a time.
-    Rejection levels come from ``calibration_rows`` rows spread by hash.
+    Rejection levels come from the entropies of all these rows that get their own language.
     """
     rows = labelled.select(F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("text")).dropna()
     counts = stored(count_grams(rows), "language-counts")
@@ -275,11 +316,9 @@ def fit(labelled: DataFrame, lang_column: str = "lang", text_column: str = "text
     sums = {r["lang"]: r for r in counts.groupBy("lang").agg(F.count("*").alias("keys"), ones.alias("ones"), twos.alias("twos")).collect()}
     languages = sorted(sums)
     model = Model(languages, _shards(counts, sums, languages, cells) if languages else [])
-    sample = least_hashed(rows, calibration_rows)
-    reached = classify(sample.withColumn("doc_id", F.lit(0)), model, keep=("lang",)).where("lang = lang_pred").toPandas()
-    model.levels = np.asarray(
-        [np.quantile(x, REJECTION_QUANTILE) * REJECTION_SLACK if len(x := reached.loc[reached["lang"] == lang, "bits"]) else np.inf for lang in languages]
-    )
+    own = classify(rows.withColumn("doc_id", F.lit(0)), model, keep=("lang",)).where("lang = lang_pred")
+    reached = quantiles(own, REJECTION_QUANTILE)
+    model.levels = np.asarray([reached[lang] * REJECTION_SLACK if lang in reached else np.inf for lang in languages])
     return model
 
 
