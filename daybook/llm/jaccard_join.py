@@ -9,9 +9,9 @@ of the first hashes of either; only sets that do are compared:
 2. Among the shared ones, ordered by frequency, a similar set must hold one of the
    first few. Sets meet at the least set that holds one of these hashes, their hub:
    copies of one text have few hubs, so a set travels to few places.
-3. The sets of a hub are joined with a prefix tree: paths are walked with their
-   partial overlaps, and left as soon as the remaining lengths cannot give the
-   similarity. Sets that are linked already are not compared again, so that no
+3. The sets of a hub are joined with a prefix tree: paths that share one of their
+   first ranks are walked with their partial overlaps, and left as soon as the remaining
+   lengths cannot give the similarity. Sets that are linked already are not compared again, so that no
    group is expanded into its pairs. A hub with many sets is first compared with the
    hub itself; only sets not linked to it are compared with all, in blocks.
 4. Links form groups by repeated exchange of least labels.
@@ -126,7 +126,7 @@ def similar(overlap, n, m, percent: int):
 class PrefixTree:
     """Sets as paths of ranks, rare ranks first, kept in order with the length of path that neighbours share."""
 
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], percent: int):
         values, place, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         rank = np.empty(len(values), np.int64)
         rank[np.lexsort((values, counts))] = np.arange(len(values))
@@ -140,9 +140,34 @@ class PrefixTree:
             differ = np.flatnonzero(a[:n] != b[:n])
             self.shared.append(int(differ[0]) if len(differ) else n)
         self.size = len(values)
-
-    def links(self, probe: int, percent: int, skip) -> list[int]:
-        """Places after ``probe`` (in tree order) whose sets are similar to it; ``skip`` says which need not be known."""
+        self.sizes = np.array([len(p) for p in self.paths], np.int64)
+        self.beginnings = [p[: len(p) - least_overlap(len(p), percent) + 1] for p in self.paths]
+        ranks = np.concatenate(self.beginnings)
+        holders = np.repeat(np.arange(len(self.paths)), [len(b) for b in self.beginnings])
+        by_rank = np.argsort(ranks, kind="stable")
+        self.holders = holders[by_rank]
+        self.starts = np.searchsorted(ranks[by_rank], np.arange(self.size + 1))
+
+    def candidates(self, probe: int, percent: int) -> np.ndarray:
+        """Places after ``probe`` whose sets may be similar to it: of like size, and sharing a rank of both beginnings.
+
+        Similar sets share at least ``least_overlap`` of either, so in one order of ranks
+        their beginnings, which leave out fewer than that, have a rank in common.
+        """
+        ranks = self.beginnings[probe]
+        found = [self.holders[a:b] for a, b in zip(self.starts[ranks], self.starts[ranks + 1]) if b - a > 1]
+        if not found:
+            return np.empty(0, np.int64)
+        marked = np.zeros(len(self.paths), bool)
+        marked[np.concatenate(found)] = True
+        places = np.flatnonzero(marked[probe + 1 :]) + probe + 1
+        n, m = self.sizes[probe], self.sizes[places]
+        return places[100 * np.minimum(n, m) >= percent * np.maximum(n, m)]
+
+    def links(self, probe: int, percent: int, places: np.ndarray) -> list[int]:
+        """Of ``places``, which rise and come after ``probe`` (in tree order), those whose sets are similar to it."""
+        if not len(places):
+            return []
         mine = self.paths[probe]
         n = len(mine)
         held = np.zeros(self.size, bool)
@@ -150,12 +175,12 @@ class PrefixTree:
         found = []
         sums = np.zeros(1, np.int64)  # overlaps along the path last walked
         common = 0  # of which this much is a part of the path at hand
-        for place in range(probe + 1, len(self.paths)):
-            common = min(common, self.shared[place])
+        before = probe
+        for place in places.tolist():
+            common = min(common, *self.shared[before + 1 : place + 1])
+            before = place
             path = self.paths[place]
             m = len(path)
-            if 100 * min(n, m) < percent * max(n, m) or skip(probe, place):
-                continue
             need = -(-percent * (n + m) // (100 + percent))
             at, total = common, int(sums[common])
             walked = [sums[: common + 1]]
@@ -170,37 +195,29 @@ class PrefixTree:
 
 
 class Groups:
-    """Union by least member."""
+    """Union by least member; ``label`` has the least member of each one's group."""
 
     def __init__(self, n: int):
-        self.parent = list(range(n))
-
-    def find(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = self.parent[self.parent[i]]
-            i = self.parent[i]
-        return i
+        self.label = np.arange(n)
 
     def join(self, i: int, j: int) -> None:
-        a, b = self.find(i), self.find(j)
+        a, b = sorted((self.label[i], self.label[j]))
         if a != b:
-            self.parent[max(a, b)] = min(a, b)
+            self.label[self.label == b] = a
 
 
 def block_links(keys: list[bytes], sets: list[np.ndarray], probes: list[bool], percent: int) -> list[tuple[bytes, bytes]]:
     """Links of one block that connect what its similar pairs connect; a pair needs a probe."""
-    tree = PrefixTree(sets)
+    tree = PrefixTree(sets, percent)
     groups = Groups(len(keys))
-    asks = [probes[i] for i in tree.order]
-
-    def skip(a: int, b: int) -> bool:
-        return not (asks[a] or asks[b]) or groups.find(a) == groups.find(b)
-
+    asks = np.array([probes[i] for i in tree.order], bool)
     for place in range(len(keys)):
-        for other in tree.links(place, percent, skip):
+        others = tree.candidates(place, percent)
+        apart = groups.label[others] != groups.label[place]
+        for other in tree.links(place, percent, others[apart & (asks[place] | asks[others])]):
             groups.join(place, other)
     names = [keys[i] for i in tree.order]
-    return [(names[groups.find(i)], names[i]) for i in range(len(names)) if groups.find(i) != i]
+    return [(names[least], names[i]) for i, least in enumerate(groups.label.tolist()) if least != i]
 
 
 LINKS = "a binary, b binary"

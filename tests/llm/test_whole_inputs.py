@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from daybook.llm import language_id
+from daybook.llm import jaccard_join, language_id
 from daybook.llm.batches import slices
 
 
@@ -44,3 +44,15 @@ def test_slices_hold_one_part_at_a_time():
     tracemalloc.stop()
     assert got == [len(t or b"") for t in texts] and peak < 2_000_000
     assert not list(slices(batch.slice(0, 0), "text"))
+
+
+def test_sets_that_share_frequent_hashes_only_are_not_compared():
+    rng = np.random.default_rng(3)
+    crowd = np.arange(50, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([crowd, rng.integers(100, 1 << 60, 40).astype(np.uint64)])) for _ in range(300)]
+    sets += [np.sort(np.append(s[:-1], np.uint64(7_000 + i))) for i, s in enumerate(sets[:20])]
+    tree = jaccard_join.PrefixTree(sets, 80)
+    assert sum(len(tree.candidates(i, 80)) for i in range(len(sets))) == 20
+    keys = [i.to_bytes(2) for i in range(len(sets))]
+    links = jaccard_join.block_links(keys, sets, [True] * len(sets), 80)
+    assert {frozenset(pair) for pair in links} == {frozenset((keys[i], keys[300 + i])) for i in range(20)}
