@@ -25,7 +25,7 @@ from daybook.operators.trades import trade_pnl
 from daybook.plans import monitoring as V
 from daybook.plans import pipeline
 from daybook.sources import catalog, readers, warehouse as wh
-from daybook.sources.session import work_folder
+from daybook.sources.session import stored, work_folder
 from daybook.sources.writers import (
     project_contract,
     write_delimited,
@@ -90,7 +90,7 @@ def monthly_trades(spark, sf_dir):
 def write_partitions_(spark, sf_dir):
     """All months are written, then written again with February left empty."""
     root = work_folder(spark, "partitions")
-    months = monthly_trades(spark, sf_dir)
+    months = stored(monthly_trades(spark, sf_dir), "months")
     dates = [row["dt"] for row in months.select("dt").distinct().collect()]
     write_partitions(months, root, dates)
     february = [d for d in dates if d.month == 2]
@@ -108,7 +108,8 @@ def write_partitions_(spark, sf_dir):
 def read_partition(spark, sf_dir):
     """All months are written; the last is read by its folder alone."""
     root = work_folder(spark, "partition")
-    months = monthly_trades(spark, sf_dir)
+    # The dates are taken from the rows that are written, which are derived once.
+    months = stored(monthly_trades(spark, sf_dir), "months")
     dates = [row["dt"] for row in months.select("dt").distinct().collect()]
     write_partitions(months, root, dates)
     return readers.read_partition(spark, root, max(dates)).drop("dt")

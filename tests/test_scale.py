@@ -7,6 +7,7 @@ from decimal import Decimal as D
 from pyspark.sql import functions as F
 
 from checks import feeds as X
+from checks import job_queries as J
 from daybook.operators import prices as P
 from daybook.operators.portfolio import explode_positions
 from daybook.operators.trades import process_trades, trade_pnl
@@ -63,3 +64,19 @@ def test_frequent_keys_are_counted_exactly(spark, monkeypatch):
     keyed = spark.createDataFrame(keys, "key_symbol string, key_day date")
     want = {s: -(-n // 20) for (s, d), n in Counter(keys).items() if s and d and n > 20}
     assert {r["hot_symbol"]: r["salts"] for r in P._frequent_keys(keyed, 20).collect()} == want
+
+
+def counted(rows, column, seen):
+    """The rows, with a column that counts in ``seen`` how often they are derived."""
+    same = F.udf(lambda value: (seen.add(1), value)[1], "string").asNondeterministic()
+    return rows.withColumn(column, same(column))
+
+
+def test_months_are_derived_once(spark, tmp_path, monkeypatch):
+    days = [date(2026, month, 1) for month in (1, 2, 3)]
+    trades = spark.createDataFrame([(f"O{i}", days[i % 3], 1) for i in range(30)], "order_id string, dt date, quantity int")
+    seen = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(J, "monthly_trades", lambda *_: counted(trades, "order_id", seen))
+    last = J.read_partition.__wrapped__(spark, str(tmp_path)).collect()
+    assert sorted(r["order_id"] for r in last) == sorted(f"O{i}" for i in range(30) if i % 3 == 2)
+    assert seen.value == 30
