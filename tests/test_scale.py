@@ -72,6 +72,16 @@ def counted(rows, column, seen):
     return rows.withColumn(column, same(column))
 
 
+def test_rejects_are_derived_once_for_both_sides(spark, tmp_path, monkeypatch):
+    columns = "source_name string, run_date date, record_identifier string, raw_record string, rejection_rule string, rejection_reason string, rejected_at timestamp"
+    rejects = [("trades", DAY, None, f"r{i % 4}", "RULE", "why", None) for i in range(7)] + [("portfolio", DAY, "P", None, "RULE", "why", None)] * 2
+    seen = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(J, "all_rejects", lambda *_: counted(spark.createDataFrame(rejects, columns), "rejection_reason", seen))
+    rows = J.serial_ids.__wrapped__(spark, str(tmp_path)).collect()
+    assert {tuple(r) for r in rows} == {("trades", 7, 7, 7, 4), ("portfolio", 2, 2, 2, 1)}
+    assert seen.value == len(rejects)
+
+
 def test_months_are_derived_once(spark, tmp_path, monkeypatch):
     days = [date(2026, month, 1) for month in (1, 2, 3)]
     trades = spark.createDataFrame([(f"O{i}", days[i % 3], 1) for i in range(30)], "order_id string, dt date, quantity int")
