@@ -90,3 +90,21 @@ def test_months_are_derived_once(spark, tmp_path, monkeypatch):
     last = J.read_partition.__wrapped__(spark, str(tmp_path)).collect()
     assert sorted(r["order_id"] for r in last) == sorted(f"O{i}" for i in range(30) if i % 3 == 2)
     assert seen.value == 30
+
+
+def test_documents_are_gathered_where_positions_are_numbered(spark, tmp_path, monkeypatch):
+    root = positions(spark, tmp_path, {c: range(1, 20) for c in range(1, 200)})
+    monkeypatch.setattr(X, "LINES_PER_PARTITION", 100)
+    lines = X.document_lines(spark, root)
+    above = lines._jdf.queryExecution().executedPlan().toString().split("Window [")[0]
+    assert "Exchange" not in above
+    # Partitions follow the line items, so that none outgrows its task.
+    assert X.positions(spark, root).rdd.getNumPartitions() >= 199 * 19 // 100
+
+
+def test_positions_are_those_of_the_feed(spark, tmp_path):
+    root = positions(spark, tmp_path, {c: range(c, c + 3) for c in (1, 2, 49, 50, 51, 2048, 4097)} | {7: []})
+    feed = X.feed(spark, root, "feed_positions")
+    rows = X.positions(spark, root)
+    assert Counter(rows.drop("customers").collect()) == Counter(feed.collect())
+    assert {(r["c_custkey"], r["customers"]) for r in rows.collect()} == {(c, c // 2048) for c in (1, 2, 7, 49, 50, 51, 2048, 4097)}
