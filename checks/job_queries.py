@@ -216,7 +216,8 @@ def reload_partition(spark, sf_dir):
     root = work_folder(spark, "warehouse")
     contract = S.TABLES["processed_trades"]
     wh.create_tables(spark, root)
-    clean = clean_trades.__wrapped__(spark, sf_dir)
+    # Both loads read the trades, which are derived once.
+    clean = stored(clean_trades.__wrapped__(spark, sf_dir), "clean")
     wh.reload_partition(clean, root, contract, DAY)
     second = wh.reload_partition(clean.where("side = 'BUY'"), root, contract, DAY)
     return wh.read_table(spark, root, contract.name).groupBy("trade_date", "side").agg(
@@ -495,7 +496,8 @@ _INCOMING = """
 def contract_quarantine(spark, sf_dir):
     """Trades that come as text, some with a quantity too wide, a portfolio too long or no currency: loaded and set aside."""
     root = work_folder(spark, "quarantine")
-    clean = clean_trades.__wrapped__(spark, sf_dir)
+    # Read for the rows set aside and for those loaded, derived once.
+    clean = stored(clean_trades.__wrapped__(spark, sf_dir), "clean")
     quantity = F.col("quantity")
     incoming = clean.select(
         *[F.col(c).cast("string").alias(c) for c in clean.columns if c not in ("quantity", "portfolio_id", "currency")],
