@@ -41,7 +41,7 @@ from daybook.operators.trades import (
     type_trades,
 )
 from daybook.plans.pipeline import half, stage
-from daybook.sources.session import work_folder
+from daybook.sources.session import stored, work_folder
 
 DAY = X.RUN_DATE
 REJECT = ["source_name", "run_date", "record_identifier", "raw_record", "rejection_rule", "rejection_reason"]
@@ -52,9 +52,9 @@ TRADE = TRADE_SQL.replace("\n", "").replace(" ", "").split(",")
 PRICED_SQL = ", ".join(PRICED_COLUMNS)
 
 
-def prices(spark, sf_dir, variant=X.FIXED, portfolio_prices=False):
+def prices(spark, sf_dir, variant=X.FIXED, portfolio_prices=False, held=None):
     """Valid prices of the fixed date or of every date."""
-    feed = X.market(spark, sf_dir, variant, portfolio_prices)
+    feed = X.market(spark, sf_dir, variant, portfolio_prices, held)
     return process_market(feed, F.col("dt"))[0]
 
 
@@ -210,8 +210,9 @@ def portfolio_pnl(spark, sf_dir):
     f"SELECT {PORTFOLIO_SQL} FROM portfolio_pnl", portfolio_prices=True), dates="pnl_date")
 def portfolio_pnl_daily(spark, sf_dir):
     """Documents of many dates in one job, through the shuffled price join."""
-    market = prices(spark, sf_dir, X.DAILY, portfolio_prices=True)
-    documents = X.documents(spark, sf_dir, X.DAILY)
+    held = stored(X.positions(spark, sf_dir, X.DAILY), "positions")  # for prices and documents
+    market = prices(spark, sf_dir, X.DAILY, portfolio_prices=True, held=held)
+    documents = X.documents(spark, sf_dir, X.DAILY, held)
     return process_portfolios(documents, F.col("dt"), market, small=False)[0]
 
 
@@ -318,8 +319,9 @@ def staged(spark, sf_dir, variant=X.FIXED):
     return valid, trade_pnl(valid, quotes, small, in_files=True)[0], rejected, portfolio
 
 
-def totals(spark, sf_dir, variant=X.FIXED):
-    valid, clean, rejected, portfolio = staged(spark, sf_dir, variant)
+def totals(spark, sf_dir, variant=X.FIXED, parts=None):
+    """(totals per date, rejects) of the given staged parts or of new ones."""
+    valid, clean, rejected, portfolio = parts or staged(spark, sf_dir, variant)
     return run_totals(valid, clean, rejected, portfolio), rejected
 
 

@@ -186,14 +186,22 @@ def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def feed(
-    spark: SparkSession, sf_dir: str, name: str, variant: str = FIXED, portfolio_prices=False
+    spark: SparkSession, sf_dir: str, name: str, variant: str = FIXED, portfolio_prices=False, held=None
 ) -> DataFrame:
-    """One feed as a Spark DataFrame of typed columns (or message text)."""
-    sql = with_clause(needed(name, ctes(variant, portfolio_prices))) + f"SELECT * FROM {name}"
+    """One feed as a Spark DataFrame of typed columns (or message text).
+
+    ``held`` gives the rows of ``feed_positions`` where the caller has them already.
+    """
+    parts, given = ctes(variant, portfolio_prices), {}
+    if held is not None:
+        parts = [(n, "SELECT * FROM {held}" if n == "feed_positions" else text) for n, text in parts]
+    sql = with_clause(needed(name, parts)) + f"SELECT * FROM {name}"
+    if "{held}" in sql:
+        given["held"] = held
     used = [t for t in TABLES if "{" + t + "}" in sql]
     # Days with a price are made distinct where the line items are read, without dealing these out first.
     read = spread_table if "{orders}" in sql else table
-    return spark.sql(sql, **{t: read(spark, sf_dir, t) for t in used})
+    return spark.sql(sql, **given, **{t: read(spark, sf_dir, t) for t in used})
 
 
 def messages(spark: SparkSession, sf_dir: str, variant: str = FIXED) -> DataFrame:
@@ -205,19 +213,19 @@ CSV_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "f
 
 
 def market_columns(
-    spark: SparkSession, sf_dir: str, variant: str = FIXED, portfolio_prices=False
+    spark: SparkSession, sf_dir: str, variant: str = FIXED, portfolio_prices=False, held=None
 ) -> DataFrame:
-    prices = feed(spark, sf_dir, "feed_prices", variant, portfolio_prices)
+    prices = feed(spark, sf_dir, "feed_prices", variant, portfolio_prices, held)
     return prices.withColumn("loaded_at", F.lit(None).cast("timestamp")).select(
         *S.MARKET_FEED.names, "dt"
     )
 
 
 def market(
-    spark: SparkSession, sf_dir: str, variant: str = FIXED, portfolio_prices=False
+    spark: SparkSession, sf_dir: str, variant: str = FIXED, portfolio_prices=False, held=None
 ) -> DataFrame:
     """Price rows after a trip through CSV lines, with dt."""
-    columns = market_columns(spark, sf_dir, variant, portfolio_prices)
+    columns = market_columns(spark, sf_dir, variant, portfolio_prices, held)
     line = F.to_csv(F.struct(*S.MARKET_FEED.names), CSV_SPACES)
     row = F.from_csv(line, S.MARKET_FEED.simpleString()[len("struct<"):-1].replace(":", " "), CSV_SPACES)
     return columns.select(row.alias("row"), "dt").select("row.*", "dt")
@@ -231,14 +239,18 @@ _CUSTOMERS_PER_DOCUMENT, _POSITIONS_PER_DOCUMENT = 2048, 512
 LINES_PER_PARTITION = 250_000
 
 
+def _partitions(spark: SparkSession, sf_dir: str) -> int:
+    """How many partitions positions are dealt out to; it follows the line items, counted by the files' footers."""
+    lines = table(spark, sf_dir, "lineitem").count()
+    return max(spark.sparkContext.defaultParallelism, -(-lines // LINES_PER_PARTITION))
+
+
 def positions(spark: SparkSession, sf_dir: str, variant: str = FIXED) -> DataFrame:
     """The rows of ``feed_positions`` with ``customers``, the number of their block of customers.
 
-    Line items are dealt out by customer once, for adding them up and joining them, and positions by block
-    once, for all further steps; the number of partitions follows the line items.
+    Line items are dealt out by customer once, for adding them up and joining them.
     """
-    lines = table(spark, sf_dir, "lineitem")
-    parts = max(spark.sparkContext.defaultParallelism, -(-lines.count() // LINES_PER_PARTITION))
+    lines, parts = table(spark, sf_dir, "lineitem"), _partitions(spark, sf_dir)
     bought = lines.repartition("l_orderkey").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     ).select("o_custkey", "l_partkey", "l_quantity", "l_linestatus", "l_extendedprice")
@@ -249,17 +261,21 @@ def positions(spark: SparkSession, sf_dir: str, variant: str = FIXED) -> DataFra
     customers = table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     own = (F.col("c_custkey") == F.col("o_custkey")) & (F.col("c_custkey") % 50 != 0)
     joined = customers.select("c_custkey", "n_nationkey").repartition(parts, "c_custkey").join(held, own, "left")
-    blocks = joined.withColumn("customers", F.floor(F.col("c_custkey") / _CUSTOMERS_PER_DOCUMENT)).repartition(parts, "customers")
+    blocks = joined.withColumn("customers", F.floor(F.col("c_custkey") / _CUSTOMERS_PER_DOCUMENT))
     columns = _POSITION_COLUMNS.replace("$day", _DOCUMENT_DAY[variant])
     return spark.sql(f"SELECT {columns}, customers FROM {{blocks}}", blocks=blocks)
 
 
-def document_lines(spark: SparkSession, sf_dir: str, variant: str = FIXED) -> DataFrame:
-    """Nested JSON documents: (dt, file, document), one document per row."""
+def document_lines(spark: SparkSession, sf_dir: str, variant: str = FIXED, held=None) -> DataFrame:
+    """Nested JSON documents: (dt, file, document), one document per row.
+
+    Positions, those given as ``held`` or new ones, are dealt out by block once, for all steps.
+    """
+    blocks = held if held is not None else positions(spark, sf_dir, variant)
     number = F.row_number().over(Window.partitionBy("customers", "c_custkey").orderBy("l_partkey"))
-    held = F.when(F.col("l_partkey").isNotNull(), number).otherwise(1)
-    rows = positions(spark, sf_dir, variant).withColumn(
-        "parts", F.floor((held - 1) / _POSITIONS_PER_DOCUMENT)
+    counted = F.when(F.col("l_partkey").isNotNull(), number).otherwise(1)
+    rows = blocks.repartition(_partitions(spark, sf_dir), "customers").withColumn(
+        "parts", F.floor((counted - 1) / _POSITIONS_PER_DOCUMENT)
     )
     document_key = ["dt", "source_run_date", "customers", "parts"]
     position = F.struct(
@@ -288,10 +304,10 @@ def document_lines(spark: SparkSession, sf_dir: str, variant: str = FIXED) -> Da
     return documents.select("dt", file.alias("file"), document.alias("document"))
 
 
-def documents(spark: SparkSession, sf_dir: str, variant: str = FIXED) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str, variant: str = FIXED, held=None) -> DataFrame:
     """Portfolio documents after a trip through JSON text, with dt."""
     parsed = F.from_json("document", S.PORTFOLIO_DOCUMENT)
-    return document_lines(spark, sf_dir, variant).select(
+    return document_lines(spark, sf_dir, variant, held).select(
         parsed.alias("d"), "dt"
     ).select("d.*", "dt")
 

@@ -22,6 +22,7 @@ from daybook.operators.rejects import union_all_by_name
 from daybook.operators.trades import trade_pnl, unresolvable_trades
 from daybook.plans import models as M
 from daybook.plans import monitoring as V
+from daybook.sources.session import stored
 
 AS_OF = datetime(2026, 8, 5, 12, 0, 0)
 
@@ -33,8 +34,9 @@ def processed_trades(spark, sf_dir, variant=X.DAILY, null_side_passes=False):
 
 
 def portfolio_table(spark, sf_dir):
-    market = prices(spark, sf_dir, X.DAILY, portfolio_prices=True)
-    pnl = process_portfolios(X.documents(spark, sf_dir, X.DAILY), F.col("dt"), market)[0]
+    held = stored(X.positions(spark, sf_dir, X.DAILY), "positions")  # for prices and documents
+    market = prices(spark, sf_dir, X.DAILY, portfolio_prices=True, held=held)
+    pnl = process_portfolios(X.documents(spark, sf_dir, X.DAILY, held), F.col("dt"), market)[0]
     return pnl.withColumn("loaded_at", F.col("pnl_date").cast("timestamp"))
 
 
@@ -43,9 +45,9 @@ def rejected_records(spark, sf_dir, variant=X.DAILY):
     return rejected.withColumn("loaded_at", F.col("rejected_at") + F.expr("INTERVAL 1 HOUR"))
 
 
-def tables(spark, sf_dir):
-    """The four tables of the fixed run date."""
-    _, clean, rejected, portfolio = staged(spark, sf_dir)
+def tables(spark, sf_dir, parts=None):
+    """The four tables of the fixed run date, from the given staged parts or from new ones."""
+    _, clean, rejected, portfolio = parts or staged(spark, sf_dir)
     frames = {
         "processed_trades": clean,
         "portfolio_pnl": portfolio,
@@ -260,8 +262,9 @@ def rows_on_date(spark, sf_dir):
       UNION ALL SELECT 'total_rejection_count', count(*) FROM rejected_records
       UNION ALL SELECT 'pnl_unresolvable_count', count(*) FROM clean_trades WHERE pnl_unresolvable) t"""))
 def metrics_reconciliation(spark, sf_dir):
-    metrics = build_metrics(*totals(spark, sf_dir))
-    return V.reconcile_metrics(metrics, tables(spark, sf_dir), X.RUN_DATE)
+    parts = staged(spark, sf_dir)
+    metrics = build_metrics(*totals(spark, sf_dir, parts=parts))
+    return V.reconcile_metrics(metrics, tables(spark, sf_dir, parts), X.RUN_DATE)
 
 
 @query("sources_reconciliation", expect("""
@@ -282,8 +285,9 @@ def metrics_reconciliation(spark, sf_dir):
       UNION ALL SELECT 'source:' || source_name, count(*) FROM rejected_records GROUP BY 1""")), dates="run_date")
 def sources_reconciliation(spark, sf_dir):
     """Manifest, metrics and tables of a date, with a wrong count, a metric nobody else has and a table without its rows."""
-    metrics = build_metrics(*totals(spark, sf_dir))
-    held = tables(spark, sf_dir)
+    parts = staged(spark, sf_dir)
+    metrics = build_metrics(*totals(spark, sf_dir, parts=parts))
+    held = tables(spark, sf_dir, parts)
     held["portfolio_pnl"] = held["portfolio_pnl"].where("false")
     counts = metrics.select("run_date", "total_trade_count", (F.col("clean_trade_count") + 1).alias("clean_trade_count"), F.lit(7).cast("bigint").alias("planted_gap"))
     manifest = counts.unpivot(["run_date"], ["total_trade_count", "clean_trade_count", "planted_gap"], "metric", "value")

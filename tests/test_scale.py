@@ -3,14 +3,18 @@
 from collections import Counter
 from datetime import date
 from decimal import Decimal as D
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from checks import feeds as X
 from checks import job_queries as J
+from checks import table_queries as T
+from daybook import schemas as S
 from daybook.operators import prices as P
 from daybook.operators.portfolio import explode_positions
-from daybook.operators.trades import process_trades, trade_pnl
+from daybook.operators.trades import PRICED_COLUMNS, process_trades, trade_pnl
 from tests.test_prices import MARKET
 from tests.test_trades import message
 
@@ -108,3 +112,49 @@ def test_positions_are_those_of_the_feed(spark, tmp_path):
     rows = X.positions(spark, root)
     assert Counter(rows.drop("customers").collect()) == Counter(feed.collect())
     assert {(r["c_custkey"], r["customers"]) for r in rows.collect()} == {(c, c // 2048) for c in (1, 2, 7, 49, 50, 51, 2048, 4097)}
+
+
+def test_trades_of_two_loads_are_derived_once(spark, tmp_path, monkeypatch):
+    fields = {c: "cast(null as string)" for c in PRICED_COLUMNS} | {
+        "order_id": "'O' || id", "portfolio_id": "'P'", "side": "if(id % 2 = 0, 'BUY', 'SELL')", "quantity": "cast(id as decimal(20,4))",
+        "currency": "'USD'", "trade_date": f"date'{DAY}'", "pnl_unresolvable": "false"}
+    clean = spark.range(50).select(*[F.expr(e).cast(S.TABLES["processed_trades"].types[c]).alias(c) for c, e in fields.items()])
+    for query, want in ((J.reload_partition, {(25, 50, 25)}), (J.contract_quarantine, None)):
+        seen = spark.sparkContext.accumulator(0)
+        monkeypatch.setattr(J, "clean_trades", SimpleNamespace(__wrapped__=lambda *_: counted(clean, "order_id", seen)))
+        rows = query.__wrapped__(spark, str(tmp_path)).collect()
+        assert want is None or {(r["trades"], r["rows_deleted"], r["rows_inserted"]) for r in rows} == want
+        assert seen.value == 50
+
+
+def test_message_stays_out_of_the_join(spark):
+    raw = spark.createDataFrame([(message(t11="O"),)], "raw_record string")
+    market = spark.createDataFrame([("ABC", DAY, D(100), "USD", D(1))], MARKET)
+    clean = trade_pnl(process_trades(raw, DAY)[0], market, small=False)[0]
+    (path,) = {p.rsplit("/", 1)[0] for p in clean.inputFiles() if "/unpriced-" in p}
+    assert "raw_record" not in spark.read.parquet(path).columns
+
+
+def test_reconciliations_stage_the_feeds_once(spark, tmp_path, monkeypatch):
+    calls = []
+
+    def staged(*_):
+        calls.append(1)
+        raise InterruptedError
+
+    monkeypatch.setattr(T, "staged", staged)
+    monkeypatch.setattr("checks.feed_queries.staged", lambda *_: calls.append("again"))
+    for query in (T.metrics_reconciliation, T.sources_reconciliation):
+        with pytest.raises(InterruptedError):
+            query.__wrapped__(spark, str(tmp_path))
+    assert calls == [1, 1]
+
+
+def test_prices_of_given_positions_are_those_of_the_feed(spark, tmp_path):
+    root = positions(spark, tmp_path, {c: range(c, c + 3) for c in range(1, 9)})
+    spark.range(1, 9).selectExpr("id p_partkey", "'T' p_type", "cast(id as int) p_size", "1.5D p_retailprice").write.parquet(f"{root}/part.parquet")
+    held = X.positions(spark, root, X.DAILY)
+    want = X.market(spark, root, X.DAILY, portfolio_prices=True).collect()
+    assert Counter(X.market(spark, root, X.DAILY, portfolio_prices=True, held=held).collect()) == Counter(want) and want
+    given = explode_positions(X.documents(spark, root, X.DAILY, held)).collect()
+    assert Counter(given) == Counter(explode_positions(X.documents(spark, root, X.DAILY)).collect())
