@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook import schemas as S
+from daybook.operators import identity
 from daybook.operators.identity import COPIES_AT_ONCE, with_content_ids
 from daybook.plans import pipeline
 from daybook.sources import catalog, snapshots, warehouse as wh
@@ -215,3 +216,15 @@ def test_content_ids(spark):
     assert with_content_ids(df.where("false"), "id").count() == 0
     more = with_content_ids(df.unionByName(df.where("text = 'a'")), "id", ("stamp",)).collect()
     assert {r["id"] for r in got} < {r["id"] for r in more}
+
+
+def test_rows_without_copies_are_not_shuffled_for_ids(spark, monkeypatch):
+    rows = [(f"t{i}", DAY) for i in range(50)] + [("twice", DAY), ("twice", None)]
+    df = spark.createDataFrame(rows, "text string, stamp date")
+    few = with_content_ids(df, "id", ("stamp",))
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+    monkeypatch.setattr(identity, "BROADCAST_HASHES", 0)
+    many = with_content_ids(df, "id", ("stamp",))
+    assert "LeftAnti" not in many._jdf.queryExecution().optimizedPlan().toString()
+    assert Counter(few.collect()) == Counter(many.collect()) and few.select("id").distinct().count() == len(rows)
