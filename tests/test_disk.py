@@ -8,6 +8,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from checks import feed_queries as Q
 from checks import feeds as X
 from daybook.plans import pipeline as P
 from daybook.sources import session
@@ -89,6 +90,15 @@ def test_feeds_are_compressed(spark, tmp_path):
     assert Counter(r["value"] for r in texts.collect()) == Counter(r["raw_record"] for r in X.messages(spark, root).collect())
 
 
+def test_rejects_written_apart_are_those_of_one_plan(spark, tmp_path):
+    root = orders(spark, tmp_path / "in", {c: range(1, 9) for c in range(1, 60)})
+    for variant in (X.FIXED, X.DAILY):
+        together = Q.all_rejects(spark, root, variant)
+        apart = Q.all_rejects(spark, root, variant, True)
+        assert Counter(apart.collect()) == Counter(together.collect()) and apart.count()
+        assert any("/trade-rejects-" in f for f in apart.inputFiles())
+
+
 def test_rows_of_few_dates_are_not_shuffled(spark):
     rows = spark.range(4).withColumn("day", F.lit(DAY))
     days = [DAY + timedelta(days=n) for n in range(session.FOLDERS_AT_ONCE + 1)]
