@@ -192,10 +192,13 @@ def stream_ingest(spark, sf_dir):
     """A second day arrives after the first was taken in; each file counts once."""
     root = work_folder(spark, "ingest")
     feed, target, checkpoint = f"{root}/feed", f"{root}/lines", f"{root}/checkpoint"
-    X.messages(spark, sf_dir).write.partitionBy("dt").text(feed)
+    first = X.messages(spark, sf_dir)
+    with lean_writes(spark):
+        first.write.options(**X.COMPRESSED).partitionBy("dt").text(feed)
     ingest_new_files(spark, feed, target, checkpoint)
     later = X.messages(spark, sf_dir).withColumn("dt", F.date_add("dt", 1))
-    later.write.mode("append").partitionBy("dt").text(feed)
+    with lean_writes(spark):
+        later.write.mode("append").options(**X.COMPRESSED).partitionBy("dt").text(feed)
     ingest_new_files(spark, feed, target, checkpoint)
     ingest_new_files(spark, feed, target, checkpoint)
     return spark.read.parquet(target).groupBy("dt").agg(

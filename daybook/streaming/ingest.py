@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from daybook.sources.session import COMPACT
+
 
 def new_messages(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
     """A stream over the trade feed: lines, their date and the file they came from."""
@@ -35,7 +37,7 @@ def ingest_new_files(
         new_messages(spark, root, files_per_batch)
         .writeStream.format("parquet")
         .partitionBy("dt")
-        .option("path", target)
+        .options(path=target, **COMPACT)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)

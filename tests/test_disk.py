@@ -15,6 +15,7 @@ from daybook.sources import session
 from daybook.sources import snapshots
 from daybook.sources.session import lean_writes, stored
 from daybook.sources.writers import write_partitions
+from daybook.streaming.ingest import ingest_new_files
 from tests.test_scale import positions
 
 DAY = date(2026, 8, 3)
@@ -125,3 +126,10 @@ def test_staged_rows_go_once_they_are_used(spark, tmp_path, monkeypatch, small):
     last = seen[os.path.basename(P.S.TABLES["rejected_records"].output_path)]
     assert not {"trades/is_rejected=false", "portfolio/is_rejected=false", "documents/is_rejected=false"} & last
     assert "portfolio/is_rejected=true" in last
+
+
+def test_ingested_lines_are_compact(spark, tmp_path):
+    spark.createDataFrame([("8=FIX|", DAY)], "value string, dt date").write.partitionBy("dt").text(f"{tmp_path}/feed")
+    ingest_new_files(spark, f"{tmp_path}/feed", f"{tmp_path}/lines", f"{tmp_path}/checkpoint")
+    names = files(f"{tmp_path}/lines")
+    assert names and all(n.endswith(".zstd.parquet") for n in names)
